@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,12 +21,12 @@ class Band:
     points: int = 0
 
     def contains(self, value: Column, closed: str = "left") -> Column:
-        condition = value.isNotNull()
+        conditions = []
         if self.low is not None:
-            condition &= value >= self.low if closed == "left" else value > self.low
+            conditions.append(value >= self.low if closed == "left" else value > self.low)
         if self.high is not None:
-            condition &= value < self.high if closed == "left" else value <= self.high
-        return condition
+            conditions.append(value < self.high if closed == "left" else value <= self.high)
+        return reduce(operator.and_, conditions) if conditions else value.isNotNull()
 
 
 def first_match(cases: Sequence[tuple[Column, object]], otherwise: object = None) -> Column:

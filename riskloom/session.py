@@ -51,7 +51,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Checkpoint a small-looking side, count it, and hint a broadcast only if it is small."""
-    df = cut_lineage(df)
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def has_at_most(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Checked size of a side that is about to be broadcast."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast hint when the size was checked; otherwise Spark picks the join."""
+    return F.broadcast(df) if small else df
