@@ -29,10 +29,10 @@ def fit_indexer(
 ) -> StringIndexerModel:
     """Frequency-descending codes, ties by text; NULL and unseen values get one extra code.
 
-    A column with more than `max_categories` values is no category, and is refused.
+    Columns with more than `max_categories` values together are no categories, and are refused.
     """
-    counts = category_counts(df, columns).limit(max_categories * len(columns) + 1).collect()
-    if len(counts) > max_categories * len(columns):
+    counts = category_counts(df, columns).limit(max_categories + 1).collect()
+    if len(counts) > max_categories:
         raise ValueError(f"more than {max_categories} categories in {list(columns)}")
     counts.sort(key=lambda r: (-r["n"], r["value"]))
     labels = [[r["value"] for r in counts if r["column"] == c] for c in columns]

@@ -10,6 +10,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from riskloom.streaming.counts import latest_counts, message_totals
+
 log = logging.getLogger(__name__)
 
 
@@ -49,16 +51,13 @@ def read_file_stream(
     return reader.format(file_format).load(path)
 
 
-def read_counter(spark: SparkSession, path: str) -> DataFrame:
-    """Latest message counter (total, per_min); zeros while nothing has been counted."""
+def read_counter(spark: SparkSession, root: str) -> DataFrame:
+    """Message counter (total, per_min) from the counts a stream has written; zeros before that."""
     try:
-        counter = spark.read.parquet(path)
+        minutes = latest_counts(spark, root, ["window_start"])
     except AnalysisException:
         return spark.sql("SELECT 0L AS total, 0L AS per_min")
-    return counter.selectExpr(
-        "coalesce(max_by(total, batch_id), 0L) AS total",
-        "coalesce(max_by(per_min, batch_id), 0L) AS per_min",
-    )
+    return message_totals(minutes)
 
 
 def load_model(path: str) -> PipelineModel | None:
