@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.dims import local_table
 from riskloom.operators.profile import decision_flow
 
-NODE_COLUMNS = ("id", "label", "factor", "band", "x", "y")
+NODE_SCHEMA = "id int, label string, factor string, band string, x double, y double"
 # 22 nodes with the factor and band (or the level) they stand for and their place.
 NODES = (
     (0, "Patient", "patient", "all", 0.0, 0.0),
@@ -59,11 +59,11 @@ EDGES = tuple((source, target) for source, targets in TARGETS.items() for target
 
 
 def nodes(spark: SparkSession) -> DataFrame:
-    return local_table(spark, NODE_COLUMNS, NODES)
+    return local_table(spark, NODE_SCHEMA, NODES)
 
 
 def edges(spark: SparkSession) -> DataFrame:
-    return local_table(spark, ("source", "target"), EDGES)
+    return local_table(spark, "source int, target int", EDGES)
 
 
 def edges_with_nodes(edge_table: DataFrame, node_table: DataFrame) -> DataFrame:

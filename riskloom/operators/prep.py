@@ -46,20 +46,27 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def impute(
     df: DataFrame, categorical: Sequence[str] = (), numeric: Sequence[str] = ()
 ) -> DataFrame:
-    """Fill categories with their mode and numbers with their mean (as double).
+    """Fill the columns that miss values: categories with their mode, numbers with their mean.
 
-    A column without any value stays as it is. The statistics are one value per column.
+    Other columns keep their type and values, and so does a column without any value. The
+    statistics are one value per column.
     """
-    fill: dict[str, object] = {}
-    if categorical:
-        fill.update((r["column"], r["value"]) for r in column_modes(df, categorical).collect())
-    if numeric:
-        means = column_means(df, numeric).first().asDict()
-        fill.update((c, m) for c, m in means.items() if m is not None)
-    filled = {c: _fill(df.schema[c], value) for c, value in fill.items()}
+    stats = df.agg(
+        *[count_if(is_missing(_field(df, c))).alias(f"missing_{c}") for c in (*categorical, *numeric)],
+        *[F.avg(nan_to_null(F.col(c).cast("double"))).alias(f"mean_{c}") for c in numeric],
+    ).first()
+    fill: dict[str, object] = {c: stats[f"mean_{c}"] for c in numeric if stats[f"missing_{c}"]}
+    gappy = [c for c in categorical if stats[f"missing_{c}"]]
+    if gappy:
+        fill.update((r["column"], r["value"]) for r in column_modes(df, gappy).collect())
+    filled = {c: _fill(_field(df, c), value) for c, value in fill.items() if value is not None}
     return df.withColumns(filled) if filled else df
 
 
+def _field(df: DataFrame, name: str) -> T.StructField:
+    return next(f for f in df.schema if f.name.lower() == name.lower())
+
+
 def _fill(field: T.StructField, value: object) -> Column:
     column = F.col(field.name)
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 from riskloom.functions.bands import AGE_BANDS, BMI_BANDS, age_band, band_of
 from riskloom.functions.nulls import count_if, ratio, same
 from riskloom.functions.rules import LEVEL_NAMES, RISK_FACTORS, UNKNOWN, factor_structs, risk_level, risk_score
-from riskloom.operators.dims import complete, local_table, members
+from riskloom.operators.dims import complete, members, small_or_same
 from riskloom.operators.metrics import ACTUAL, PREDICTED
 from riskloom.operators.prep import with_position_share
 from riskloom.operators.ranges import exact_quantiles
-from riskloom.session import broadcast_if, cut_lineage, has_at_most
 
-EVERYTHING = Window.partitionBy()  # only ever over one row per group
+
+def _over_all(value: Column) -> Column:
+    """Aggregate over the whole table; only ever used on one row per group."""
+    return value.over(Window.partitionBy())
 
 
 def with_risk(df: DataFrame, factors=RISK_FACTORS) -> DataFrame:
@@ -88,7 +90,7 @@ def complete_levels(counts: DataFrame, levels: Sequence[str] = LEVEL_NAMES) -> D
     dim = members(counts.sparkSession, "risk_level", levels, "severity")
     return (
         complete(counts, dim, "risk_level", {"n": 0})
-        .withColumn("pct", F.bround(ratio(F.col("n"), F.sum("n").over(EVERYTHING)) * 100.0, 1))
+        .withColumn("pct", F.bround(ratio(F.col("n"), _over_all(F.sum("n"))) * 100.0, 1))
         .select("risk_level", "severity", "n", "pct")
         .orderBy("severity")
     )
@@ -175,11 +177,8 @@ def box_stats(df: DataFrame, column: str, by: str, exact: bool = True, accuracy:
         quartiles = rows.groupBy(by).agg(found.alias("q")).select(
             by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
         )
-    quartiles = cut_lineage(quartiles)
-    small = has_at_most(quartiles)
-    joined = rows.alias("l").join(
-        broadcast_if(quartiles, small).alias("r"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}"))
-    )
+    quartiles = small_or_same(quartiles)
+    joined = rows.alias("l").join(quartiles.alias("r"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}")))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col("value")
     return joined.groupBy(F.col(f"r.{by}")).agg(
@@ -287,8 +286,8 @@ def risk_radar(
 
 
 def _scaled_mean(column: str) -> Column:
-    low = F.min(f"{column}_min").over(EVERYTHING)
-    high = F.max(f"{column}_max").over(EVERYTHING)
+    low = _over_all(F.min(f"{column}_min"))
+    high = _over_all(F.max(f"{column}_max"))
     return ratio(F.col(column) - low, high - low)
 
 
@@ -324,7 +323,7 @@ def most_at_risk(df: DataFrame, level: str = LEVEL_NAMES[0]) -> DataFrame:
     )
     rank = Window.partitionBy("dimension").orderBy(F.col("n").desc(), F.col("value"))
     top = counts.withColumn("rank", F.row_number().over(rank)).where("rank = 1").drop("rank")
-    dim = local_table(df.sparkSession, ["dimension"], [(name,) for name in dimensions])
+    dim = members(df.sparkSession, "dimension", list(dimensions)).drop("rank")
     return complete(top, dim, "dimension", {"value": UNKNOWN, "n": 0})
 
 

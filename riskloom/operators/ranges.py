@@ -16,26 +16,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.session import broadcast_if, cut_lineage, has_at_most
+from riskloom.operators.dims import small_or_same
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
+ONE_BUCKET_ROWS = 100_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 20_000
+SAMPLES_PER_BUCKET = 200
 
 
 def bucket_count(rows: int) -> int:
-    return min(MAX_BUCKETS, max(8, -(-rows // ROWS_PER_BUCKET)))
+    if rows <= ONE_BUCKET_ROWS:
+        return 1
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
 
 
-def split_points(df: DataFrame, column: str, buckets: int) -> list[float]:
-    """Bucket borders, open at both ends, from one tree-aggregated quantile sketch."""
-    shares = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(df.approxQuantile(column, shares, 1.0 / (4 * buckets))))
-    return [float("-inf"), *(inner or [0.0]), float("inf")]
+def in_buckets(df: DataFrame, column: str, rows: int, out: str) -> DataFrame:
+    """Add the number of the range bucket that a double column falls into.
 
-
-def in_buckets(df: DataFrame, column: str, splits: list[float], out: str) -> DataFrame:
-    bucketizer = Bucketizer(splits=splits, inputCol=column, outputCol=out)
-    return bucketizer.transform(df).withColumn(out, F.col(out).cast("int"))
+    The borders come from a sketch of a sample. They decide how even the buckets are, never
+    the result, and are fixed before any row is placed, so recomputed tasks agree.
+    """
+    buckets = bucket_count(rows)
+    inner: list[float] = []
+    if buckets > 1:
+        sample = df.sample(fraction=min(1.0, buckets * SAMPLES_PER_BUCKET / rows), seed=42)
+        shares = [i / buckets for i in range(1, buckets)]
+        inner = sorted(set(sample.select(column).approxQuantile(column, shares, 1.0 / (4 * buckets))))
+    if not inner:
+        return df.withColumn(out, F.lit(0))
+    splits = [float("-inf"), *inner, float("inf")]
+    placed = Bucketizer(splits=splits, inputCol=column, outputCol=out).transform(df)
+    return placed.withColumn(out, F.col(out).cast("int"))
 
 
 def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
@@ -47,8 +58,7 @@ def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
     rows, with_key = keyed.agg(F.count("*"), F.count("_key")).first()
     if rows != with_key:
         raise ValueError(f"{key} has NULLs, so it does not order the rows")
-    splits = split_points(keyed, "_key", bucket_count(rows))
-    bucketed = in_buckets(keyed, "_key", splits, "_bucket")
+    bucketed = in_buckets(keyed, "_key", rows, "_bucket")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket, at most MAX_BUCKETS.
     offsets = (
@@ -78,8 +88,7 @@ def exact_quantiles(
         .unpivot(list(by), list(columns), "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    splits = split_points(values, "value", bucket_count(values.count()))
-    bucketed = in_buckets(values, "value", splits, "bucket")
+    bucketed = in_buckets(values, "value", df.count() * len(columns), "bucket")
 
     ordered = Window.partitionBy(*group).orderBy("bucket")
     sizes = bucketed.groupBy(*group, "bucket").agg(F.count("*").alias("size"))
@@ -98,13 +107,12 @@ def exact_quantiles(
         .where((F.col("rank") >= F.col("offset")) & (F.col("rank") < F.col("end")))
         .select(*group, "bucket", "offset", "total", "share", "rank")
     )
-    ranks = cut_lineage(ranks)
-    small = has_at_most(ranks)
+    ranks = small_or_same(ranks)
     wanted = ranks.select(*group, "bucket", "offset").distinct()
     within = Window.partitionBy(*group, "bucket").orderBy("value")
     counted = (
         bucketed.alias("l")
-        .join(broadcast_if(wanted, small).alias("r"), _matching([*group, "bucket"]))
+        .join(wanted.alias("r"), _matching([*group, "bucket"]))
         .select("l.*", "r.offset")
         .groupBy(*group, "bucket", "offset", "value")
         .agg(F.count("*").alias("copies"))
@@ -113,7 +121,7 @@ def exact_quantiles(
     )
     in_reach = (F.col("r.rank") >= F.col("l.first")) & (F.col("r.rank") < F.col("l.last"))
     hits = counted.alias("l").join(
-        broadcast_if(ranks, small).alias("r"), _matching([*group, "bucket"]) & in_reach
+        ranks.alias("r"), _matching([*group, "bucket"]) & in_reach
     )
     weight = position - F.floor(position)
     return (

@@ -35,6 +35,19 @@ class Comparison:
         return scored_holdout(self.models[self.best].transform(self.holdout), label)
 
 
+def fit_and_evaluate(
+    name: str,
+    train: DataFrame,
+    holdout: DataFrame,
+    features: PipelineModel,
+    label: str = LABEL,
+    classifiers=CLASSIFIERS,
+) -> tuple[PipelineModel, DataFrame]:
+    """One classifier fitted on the training rows, and its metric row on the holdout."""
+    model = fit_classifier(features, classifiers[name](label), train)
+    return model, evaluate(model.transform(holdout), name, label)
+
+
 def compare_models(
     data: DataFrame,
     features: PipelineModel,
@@ -48,11 +61,11 @@ def compare_models(
     train, holdout = hash_split(data, key, train_percent, seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = {name: fit_classifier(features, make(label), train) for name, make in classifiers.items()}
+        fitted = {n: fit_and_evaluate(n, train, holdout, features, label, classifiers) for n in classifiers}
     finally:
         train.unpersist()
-    metrics = [evaluate(model.transform(holdout), name, label) for name, model in models.items()]
-    table = model_comparison(metrics)
+    table = model_comparison([metrics for _, metrics in fitted.values()])
+    models = {name: model for name, (model, _) in fitted.items()}
     return Comparison(models, table, best_model(table), holdout)
 
 
