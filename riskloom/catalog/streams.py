@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from riskloom.catalog.observations import LEVELS_SQL, OBS, SCORED, observations, observed, table
 from riskloom.operators import profile
 from riskloom.schema import EVENT_SCHEMA
-from riskloom.session import run_dir
+from riskloom.session import counting_session, run_dir
 from riskloom.sinks.files import write_batch_parquet
 from riskloom.sinks.kafka import to_messages
 from riskloom.sources.files import read_file_stream
@@ -20,6 +20,7 @@ from riskloom.streaming import counts
 from riskloom.streaming.messages import parse_messages
 from riskloom.streaming.scoring import batch_metrics_total, start_query, start_scoring
 
+MESSAGE_SCHEMA = T.StructType([T.StructField(f.name.lower(), f.dataType) for f in EVENT_SCHEMA])
 PROPS_SCHEMA = T.StructType([T.StructField("k", T.IntegerType())])
 
 
@@ -41,11 +42,7 @@ def parse_events(spark, sf_dir):
 def encode_messages(spark, sf_dir):
     rows = observations(spark, sf_dir).drop("patient_id", "processing_time")
     messages = to_messages(rows, "obs_id", F.lit(1_700_000_000).cast("long"))
-    parsed = parse_messages(messages, EVENT_SCHEMA_LOWER, keep=("key",))
-    return parsed
-
-
-EVENT_SCHEMA_LOWER = T.StructType([T.StructField(f.name.lower(), f.dataType) for f in EVENT_SCHEMA])
+    return parse_messages(messages, MESSAGE_SCHEMA, keep=("key",))
 
 
 def messages_per_partition(spark, sf_dir):
@@ -73,7 +70,7 @@ def stream_batch_accuracy(spark, sf_dir):
 
 def _minutes(spark, sf_dir) -> DataFrame:
     out, checkpoint = run_dir(spark, "minutes"), run_dir(spark, "checkpoint")
-    minutes = counts.per_minute(event_stream(spark, sf_dir), F.col("ts"))
+    minutes = counts.per_minute(event_stream(counting_session(spark), sf_dir), F.col("ts"))
     counts.start_counts(minutes, out, checkpoint).awaitTermination()
     return counts.latest_counts(spark, out, ["window_start"])
 
@@ -88,7 +85,7 @@ def message_total(spark, sf_dir):
 
 def stream_risk_levels(spark, sf_dir):
     out, checkpoint = run_dir(spark, "levels"), run_dir(spark, "checkpoint")
-    rows = profile.with_risk(observed(event_stream(spark, sf_dir)))
+    rows = profile.with_risk(observed(event_stream(counting_session(spark), sf_dir)))
     levels = rows.groupBy("risk_level").agg(F.count("*").alias("n"))
     counts.start_counts(levels, out, checkpoint).awaitTermination()
     return profile.complete_levels(counts.latest_counts(spark, out, ["risk_level"])).select("risk_level", "n")
@@ -108,7 +105,7 @@ QUERIES = {
     )
 }
 
-_MESSAGE = [c for c in EVENT_SCHEMA_LOWER.names if c not in ("timestamp",)]
+_MESSAGE = [c for c in MESSAGE_SCHEMA.names if c != "timestamp"]
 
 ORACLES = {
     "parse_events": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",

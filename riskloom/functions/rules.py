@@ -103,8 +103,7 @@ def max_score(factors: Sequence[Factor] = RISK_FACTORS) -> int:
 
 def risk_score(factors: Sequence[Factor] = RISK_FACTORS) -> Column:
     """Sum of the points of every factor."""
-    points = [first_match([(c, band.points) for c, band in f.cases()], 0) for f in factors]
-    return reduce(operator.add, points)
+    return reduce(operator.add, [points(f) for f in factors])
 
 
 def risk_level(score: Column, levels: Sequence[tuple[str, int | None]] = RISK_LEVELS) -> Column:
@@ -112,15 +111,19 @@ def risk_level(score: Column, levels: Sequence[tuple[str, int | None]] = RISK_LE
     return first_match([(score >= cut, name) for name, cut in cuts], lowest)
 
 
+def band_label(factor: Factor) -> Column:
+    return first_match([(c, band.label) for c, band in factor.cases()], UNKNOWN)
+
+
+def points(factor: Factor) -> Column:
+    return first_match([(c, band.points) for c, band in factor.cases()], 0)
+
+
 def factor_structs(factors: Sequence[Factor] = RISK_FACTORS) -> Column:
     """Array of struct<factor, band, points>, one entry per factor."""
     return F.array(
         *[
-            F.struct(
-                F.lit(f.name).alias("factor"),
-                first_match([(c, band.label) for c, band in f.cases()], UNKNOWN).alias("band"),
-                first_match([(c, band.points) for c, band in f.cases()], 0).alias("points"),
-            )
+            F.struct(F.lit(f.name).alias("factor"), band_label(f).alias("band"), points(f).alias("points"))
             for f in factors
         ]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -26,7 +26,7 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fit_indexer(
     df: DataFrame, columns: Sequence[str] = CATEGORICAL, max_categories: int = MAX_CATEGORIES
-) -> StringIndexerModel:
+) -> PipelineModel:
     """Frequency-descending codes, ties by text; NULL and unseen values get one extra code.
 
     Columns with more than `max_categories` values together are no categories, and are refused.
@@ -35,10 +35,13 @@ def fit_indexer(
     if len(counts) > max_categories:
         raise ValueError(f"more than {max_categories} categories in {list(columns)}")
     counts.sort(key=lambda r: (-r["n"], r["value"]))
-    labels = [[r["value"] for r in counts if r["column"] == c] for c in columns]
-    return StringIndexerModel.from_arrays_of_labels(
-        labels, list(columns), [f"{c}_indexed" for c in columns], handleInvalid="keep"
-    )
+    indexers = [
+        StringIndexerModel.from_labels(
+            [r["value"] for r in counts if r["column"] == c], c, f"{c}_indexed", handleInvalid="keep"
+        )
+        for c in columns
+    ]
+    return PipelineModel(indexers)
 
 
 def assembler(
@@ -55,8 +58,7 @@ def fit_features(
 ) -> PipelineModel:
     """Indexer and assembler, fitted once and used by training and scoring alike."""
     columns = [*numeric, *[f"{c}_indexed" for c in categorical]]
-    stages = [fit_indexer(df, categorical), assembler(columns, handle_invalid=handle_invalid)]
-    return Pipeline(stages=stages).fit(df)
+    return PipelineModel([*fit_indexer(df, categorical).stages, assembler(columns, handle_invalid=handle_invalid)])
 
 
 def feature_slots(df: DataFrame, keys: Sequence[str], vector: str = "features") -> DataFrame:

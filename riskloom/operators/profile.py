@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.bands import AGE_BANDS, BMI_BANDS, age_band, band_of
 from riskloom.functions.nulls import count_if, ratio, same
-from riskloom.functions.rules import LEVEL_NAMES, RISK_FACTORS, UNKNOWN, factor_structs, risk_level, risk_score
+from riskloom.functions.rules import LEVEL_NAMES, RISK_FACTORS, UNKNOWN, band_label, factor_structs, risk_level, risk_score
 from riskloom.operators.dims import complete, members, small_or_same
 from riskloom.operators.metrics import ACTUAL, PREDICTED
 from riskloom.operators.prep import with_position_share
@@ -356,9 +356,19 @@ def risk_headline(df: DataFrame, level: str = LEVEL_NAMES[0]) -> DataFrame:
 
 
 def decision_flow(df: DataFrame, factors=RISK_FACTORS) -> DataFrame:
-    """Observations per (factor, band, risk level)."""
+    """Observations per (factor, band, risk level).
+
+    Rows are first counted per combination of bands, of which there are only so many, and the
+    combinations instead of the observations are then taken apart by factor.
+    """
+    names = [f.name for f in factors]
+    combinations = (
+        df.select("risk_level", *[band_label(f).alias(f.name) for f in factors])
+        .groupBy("risk_level", *names)
+        .agg(F.count("*").alias("n"))
+    )
     return (
-        factor_points(df, ["risk_level"], factors)
+        combinations.unpivot(["risk_level", "n"], names, "factor", "band")
         .groupBy("factor", "band", "risk_level")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )

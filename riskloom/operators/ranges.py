@@ -58,6 +58,9 @@ def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
     rows, with_key = keyed.agg(F.count("*"), F.count("_key")).first()
     if rows != with_key:
         raise ValueError(f"{key} has NULLs, so it does not order the rows")
+    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
+    if bucket_count(rows) == 1:
+        return keyed.withColumn("_bucket", F.lit(0)).withColumn(out, within.cast("long")).drop("_key", "_bucket")
     bucketed = in_buckets(keyed, "_key", rows, "_bucket")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket, at most MAX_BUCKETS.
@@ -66,10 +69,9 @@ def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
         .agg(F.count("*").alias("_rows"))
         .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    within = Window.partitionBy("_bucket").orderBy(key)
     return (
         bucketed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(out, F.col("_offset") + F.row_number().over(within) - 1)
+        .withColumn(out, F.col("_offset") + within)
         .drop("_key", "_bucket", "_offset")
     )
 

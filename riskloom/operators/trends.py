@@ -31,20 +31,21 @@ def rate_alerts(df: DataFrame, column: str = "processing_time", days: int = 7, k
 def geo_rollup(scored: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Observations, high-risk ones and their share by region and nation, with subtotals.
 
-    Observations are first reduced to one row per patient, before the join with the patients' homes.
+    Observations are reduced to one row per patient before the join with the patients' homes,
+    and to one row per nation before the names and subtotals come in.
     """
     per_patient = scored.groupBy("patient_id").agg(
         F.count("*").alias("n"), F.sum((F.col("risk_level") == "high").cast("long")).alias("high_n")
     )
-    homes = (
-        customer.select("c_custkey", "c_nationkey")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
+    per_nation = (
+        per_patient.join(customer, F.col("patient_id") == F.col("c_custkey"))
+        .groupBy("c_nationkey")
+        .agg(F.sum("n").alias("n"), F.sum("high_n").alias("high_n"))
     )
     return (
-        per_patient.join(homes, F.col("patient_id") == F.col("c_custkey"))
-        .rollup("region", "nation")
+        per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .rollup(F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
         .agg(F.sum("n").alias("n"), F.sum("high_n").alias("high_n"))
         .withColumn("high_pct", ratio(F.col("high_n"), F.col("n")) * 100.0)
     )

@@ -36,6 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def counting_session(spark: SparkSession, state_partitions: int = 16) -> SparkSession:
+    """A session for streams that count few groups, with few state partitions.
+
+    Partial sums are what is shuffled, so the state grows with the groups, not the messages.
+    The number is fixed by the first run of a checkpoint and does not touch other queries.
+    """
+    session = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", CHECKPOINT_DIR):
+        value = spark.conf.get(key, None)
+        if value is not None and session.conf.get(key, None) != value:
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    return session
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
