@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from riskloom.catalog.observations import observations
 from riskloom.catalog.streams import _score
@@ -26,7 +27,12 @@ def _split(spark, sf_dir):
 @lru_cache(maxsize=8)
 def _fitted(spark, sf_dir, name):
     """A classifier and its metrics, fitted once per session and folder."""
-    return fit_and_evaluate(name, *_split(spark, sf_dir))
+    train, holdout, features = _split(spark, sf_dir)
+    rows = ops.training_rows(train, features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit_and_evaluate(name, rows, holdout, features)
+    finally:
+        rows.unpersist()
 
 
 def forest_metrics(spark, sf_dir):

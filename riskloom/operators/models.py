@@ -32,9 +32,27 @@ def logistic(label: str = LABEL, **params) -> LogisticRegression:
     return LogisticRegression(labelCol=label, featuresCol="features", **settings)
 
 
-def fit_classifier(features: PipelineModel, classifier, train: DataFrame) -> PipelineModel:
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: rows of few files would keep the other cores idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def training_rows(train: DataFrame, features: PipelineModel, label: str = LABEL) -> DataFrame:
+    """Only the columns that fitting reads."""
+    return spread(train.select(*_inputs(features), label))
+
+
+def fit_classifier(features: PipelineModel, classifier, rows: DataFrame) -> PipelineModel:
     """Feature stages plus classifier as one model that loads and scores on its own."""
-    return Pipeline(stages=[*features.stages, classifier]).fit(train)
+    return Pipeline(stages=[*features.stages, classifier]).fit(rows)
+
+
+def _inputs(features: PipelineModel) -> list[str]:
+    """Raw columns the feature stages read."""
+    made = {s.getOutputCol() for s in features.stages}
+    read = [c for s in features.stages for c in (s.getInputCols() if s.isSet("inputCols") else [s.getInputCol()])]
+    return [c for c in dict.fromkeys(read) if c not in made]
 
 
 def evaluate(predictions: DataFrame, model: str, label: str = LABEL) -> DataFrame:
@@ -102,7 +120,7 @@ def cross_validate(
     """(reg_param, avg_accuracy, is_best) of a logistic regression over a grid of penalties."""
     classifier = logistic(label)
     grid = ParamGridBuilder().addGrid(classifier.regParam, list(penalties)).build()
-    prepared = features.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = spread(features.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         validator = CrossValidator(
             estimator=classifier,

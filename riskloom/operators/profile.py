@@ -248,7 +248,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -
     """Pearson (x, y, r) over the rows where both are present; NULL for a constant column."""
     pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
     values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    stats = values.agg(*[_pearson(F.col(x), F.col(y)).alias(f"{x}|{y}") for x, y in pairs])
+    stats = values.agg(*[_pearson(x, y).alias(f"{x}|{y}") for x, y in pairs])
     entries = []
     for x, y in pairs:
         r = F.bround(F.col(f"`{x}|{y}`"), digits).alias("r")
@@ -258,7 +258,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -
     return stats.select(F.inline(F.array(*entries)))
 
 
-def _pearson(x: Column, y: Column) -> Column:
+def _pearson(x_name: str, y_name: str) -> Column:
+    x, y = F.col(x_name), F.col(y_name)
+    if x_name == y_name:
+        return F.when(F.stddev_pop(x) > 0, F.lit(1.0))
     spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
     return F.try_divide(F.covar_pop(x, y), spread)
 

@@ -17,6 +17,7 @@ from riskloom.operators.models import (
     logistic,
     model_comparison,
     scored_holdout,
+    training_rows,
 )
 from riskloom.schema import LABEL
 from riskloom.sinks.files import run_id, save_model, write_csv
@@ -43,7 +44,7 @@ def fit_and_evaluate(
     label: str = LABEL,
     classifiers=CLASSIFIERS,
 ) -> tuple[PipelineModel, DataFrame]:
-    """One classifier fitted on the training rows, and its metric row on the holdout."""
+    """One classifier fitted on `training_rows`, and its metric row on the holdout."""
     model = fit_classifier(features, classifiers[name](label), train)
     return model, evaluate(model.transform(holdout), name, label)
 
@@ -59,11 +60,11 @@ def compare_models(
 ) -> Comparison:
     """Fit every classifier on the same hash split of `key` and compare them on the holdout."""
     train, holdout = hash_split(data, key, train_percent, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = training_rows(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = {n: fit_and_evaluate(n, train, holdout, features, label, classifiers) for n in classifiers}
+        fitted = {n: fit_and_evaluate(n, rows, holdout, features, label, classifiers) for n in classifiers}
     finally:
-        train.unpersist()
+        rows.unpersist()
     table = model_comparison([metrics for _, metrics in fitted.values()])
     models = {name: model for name, (model, _) in fitted.items()}
     return Comparison(models, table, best_model(table), holdout)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from riskloom.operators.metrics import batch_accuracy
-from riskloom.operators.models import score
+from riskloom.operators.models import score, spread
 from riskloom.schema import to_scored_rows
 from riskloom.sinks.files import write_batch_parquet
 
@@ -40,7 +40,8 @@ def start_scoring(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = to_scored_rows(score(batch, model), keep).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = batch if model is None else spread(batch)
+        scored = to_scored_rows(score(rows, model), keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if scored.isEmpty():
                 return
