@@ -81,6 +81,10 @@ def missing_levels(spark, sf_dir):
     return dims.add_absent(_severe(spark, sf_dir), dim, "risk_level", {"n": 0})
 
 
+def unseen_levels(spark, sf_dir):
+    return dims.absent(_severe(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
+
+
 def level_order(spark, sf_dir):
     return dims.with_order(_severe(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
 
@@ -125,6 +129,7 @@ QUERIES = {
         order_status_share,
         stacked_positions,
         missing_levels,
+        unseen_levels,
         level_order,
         risk_radar,
         high_risk_profile,
@@ -189,6 +194,9 @@ SELECT gender, risk_level, ROUND(pct, 6) AS pct, ROUND(label_y, 6) AS label_y FR
     "missing_levels": f"""{SCORED}
 SELECT lv.risk_level, COUNT(s.obs_id) AS n FROM {LEVELS_SQL}
 LEFT JOIN scored s ON s.risk_level = lv.risk_level AND s.risk_score >= 6 GROUP BY 1""",
+    "unseen_levels": f"""{SCORED}
+SELECT risk_level, severity FROM {LEVELS_SQL}
+WHERE risk_level NOT IN (SELECT risk_level FROM scored WHERE risk_score >= 6)""",
     "level_order": f"""{SCORED}
 SELECT s.risk_level, COUNT(*) AS n, lv.severity FROM scored s JOIN {LEVELS_SQL} ON s.risk_level = lv.risk_level
 WHERE risk_score >= 6 GROUP BY 1, 3""",

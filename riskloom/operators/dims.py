@@ -45,9 +45,16 @@ def absent(df: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
 
 
 def add_absent(df: DataFrame, dim: DataFrame, on: str, fill: Mapping[str, object]) -> DataFrame:
-    """Append one filled row per member that the grouped result lacks."""
-    zeros = absent(df, dim.select(on), on).withColumns({k: F.lit(v) for k, v in fill.items()})
-    return df.unionByName(zeros.select(*[F.col(c).cast(df.schema[c].dataType) for c in df.columns]))
+    """Append one filled row per member that the grouped result lacks.
+
+    Filled rows are offered for every member and give way to the result's own row, so the
+    result is computed once and not a second time to find out what it lacks.
+    """
+    others = [c for c in df.columns if c != on]
+    filled = dim.select(on, *[F.lit(fill.get(c)).cast(df.schema[c].dataType).alias(c) for c in others])
+    offered = df.withColumn("_own", F.lit(1)).unionByName(filled.withColumn("_own", F.lit(0)))
+    kept = offered.groupBy(on).agg(F.max(F.struct("_own", *others)).alias("_row"))
+    return kept.select(on, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
 def with_order(df: DataFrame, order: DataFrame, on: str) -> DataFrame:

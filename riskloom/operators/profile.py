@@ -104,12 +104,12 @@ def band_counts(df: DataFrame) -> DataFrame:
         .groupBy("age_band", "predicted")
         .agg(F.count("*").alias("n"))
     )
-    # The classes seen in any row, banded or not, times every band: zero rows to add up with.
-    cells = counts.select("predicted", F.lit(0).cast("long").alias("n")).distinct()
-    zeros = cells.withColumn("age_band", F.explode(F.array(*[F.lit(b.label) for b in AGE_BANDS])))
+    # Each count brings a zero for every band along, so all bands appear with all classes.
+    own = F.struct(F.col("age_band"), F.col("n"))
+    zeros = [F.struct(F.lit(b.label).alias("age_band"), F.lit(0).cast("long").alias("n")) for b in AGE_BANDS]
     full = (
-        counts.where(F.col("age_band").isNotNull())
-        .unionByName(zeros)
+        counts.select("predicted", F.inline(F.array(own, *zeros)))
+        .where(F.col("age_band").isNotNull())
         .groupBy("age_band", "predicted")
         .agg(F.sum("n").alias("n"))
     )

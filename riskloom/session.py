@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -28,12 +29,16 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach; a temporary one only for an unset local session."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"riskloom-{application}-")
 
 
 def counting_session(spark: SparkSession, state_partitions: int = 16) -> SparkSession:
@@ -43,10 +48,8 @@ def counting_session(spark: SparkSession, state_partitions: int = 16) -> SparkSe
     The number is fixed by the first run of a checkpoint and does not touch other queries.
     """
     session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", CHECKPOINT_DIR):
-        value = spark.conf.get(key, None)
-        if value is not None and session.conf.get(key, None) != value:
-            session.conf.set(key, value)
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        session.conf.set(key, spark.conf.get(key))
     session.conf.set("spark.sql.shuffle.partitions", state_partitions)
     return session
 

@@ -12,6 +12,7 @@ import __spark_entry__ as entry_module
 from riskloom.operators.models import forest, logistic, score
 from riskloom.plans.analytics import enriched, summaries
 from riskloom.plans.preparation import prepare
+from riskloom.plans.publishing import message_rows, publish
 from riskloom.plans.serving import database_or_csv
 from riskloom.plans.training import compare_models, save_comparison
 from riskloom.sinks.files import write_batch_parquet
@@ -134,3 +135,19 @@ def test_rule_classifier_reproduces_scored_batches(spark):
     frame = spark.read.option("header", True).option("inferSchema", True).csv(folders)
     given = frame.withColumnRenamed("predicted_diabetes", "given")
     assert given.count() > 0 and score(given).where("predicted_diabetes <> given").count() == 0
+
+
+def test_publish_completes_and_encodes_rows(spark, path):
+    spark.createDataFrame([(1, 30.5), (2, None)], "id long, bmi double").write.option("header", True).csv(f"{path}/p")
+    sent = []
+    publish(spark, [f"{path}/absent", f"{path}/p"], "id", sent.append, "id long, bmi double", F.lit(9))
+    rows = {r["key"]: r for r in parse_messages(sent[0], keep=("key",)).collect()}
+    assert rows["1"]["bmi"] == 30.5 and rows["2"]["bmi"] is None
+    assert rows["1"]["gender"] == "Female" and rows["1"]["timestamp"] == 9
+
+
+def test_categories_come_from_the_original_rows(spark):
+    prepared = spark.createDataFrame([(5, 1.0), (6, 2.0)], "id long, bmi double")
+    original = spark.createDataFrame([(1, "Male", "former"), (2, "Other", "ever")], "row long, gender string, smoking_history string")
+    rows = message_rows(prepared, original, ("id", "row")).orderBy("id").collect()
+    assert [(r["gender"], r["smoking_history"], r["age"]) for r in rows] == [("Male", "former", 0.0), ("Other", "ever", 0.0)]

@@ -112,3 +112,17 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get(session.CHECKPOINT_DIR)
     assert session.run_dir(spark, "x").startswith(folder)
     assert session.run_dir(spark, "x") != session.run_dir(spark, "x")
+
+
+class Unset:
+    """A session whose checkpoint folder is not set."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    assert session.shared_dir(Unset("local[2]")) == session.shared_dir(Unset("local[4]"))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        session.shared_dir(Unset("spark://host:7077"))
