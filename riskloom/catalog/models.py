@@ -1,4 +1,4 @@
-"""Classifiers: fitted on the hash split of the observations. Rows are checked, not values."""
+"""Classifiers, fitted on the hash split of the observations, and the ranking of the risk score."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from riskloom.catalog.observations import observations
+from riskloom.catalog.observations import SCORED, observations
 from riskloom.catalog.streams import _score
 from riskloom.operators import models as ops
+from riskloom.operators.dims import local_table
 from riskloom.operators.features import fit_features, hash_split
+from riskloom.operators.profile import with_risk
 from riskloom.plans.preparation import clean
 from riskloom.plans.training import CLASSIFIERS, fit_and_evaluate
 from riskloom.session import run_dir
@@ -65,6 +67,13 @@ def cv_best(spark, sf_dir):
     return ops.cross_validate(features, folded, fold_column="fold")
 
 
+def risk_score_auc(spark, sf_dir):
+    """How well the additive score alone ranks the observations."""
+    rows = with_risk(observations(spark, sf_dir)).select("diabetes", F.col("risk_score").cast("double"))
+    auc = round(ops.area_under_roc(rows, "risk_score"), 6)
+    return local_table(spark, "auc double", [(auc,)])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,6 +83,14 @@ QUERIES = {
         best_predictions,
         score_stream_model,
         cv_best,
+        risk_score_auc,
     )
 }
-ORACLES: dict[str, str] = {}
+
+ORACLES = {
+    "risk_score_auc": f"""{SCORED}, s AS (
+  SELECT risk_score, CAST(SUM(diabetes) AS DOUBLE) AS p, CAST(SUM(1 - diabetes) AS DOUBLE) AS q FROM scored GROUP BY 1
+), c AS (
+  SELECT p, q, COALESCE(SUM(q) OVER (ORDER BY risk_score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT ROUND(SUM(p * (below + q / 2)) / (SUM(p) * SUM(q)), 6) AS auc FROM c""",
+}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.catalog.observations import OBS, observations, table
@@ -11,12 +14,11 @@ from riskloom.session import run_dir
 from riskloom.sinks.files import write_csv, write_parquet
 from riskloom.sources.files import read_csv
 
-NATIVE = (
-    ("lineitem", "l_extendedprice"),
-    ("lineitem", "l_quantity"),
-    ("orders", "o_totalprice"),
-    ("events", "value"),
-)
+NATIVE = {
+    "lineitem": ("l_extendedprice", "l_quantity"),
+    "orders": ("o_totalprice",),
+    "events": ("value",),
+}
 
 
 def table_size(spark, sf_dir):
@@ -37,13 +39,11 @@ def impute_mean(spark, sf_dir):
 
 
 def iqr_bounds(spark, sf_dir):
-    by_table: dict[str, list[str]] = {}
-    for name, column in NATIVE:
-        by_table.setdefault(name, []).append(column)
-    found = None
-    for name, columns in by_table.items():
-        bounds = prep.iqr_bounds(table(spark, sf_dir, name), columns, exact=True)
-        found = bounds if found is None else found.unionByName(bounds)
+    """Columns of three tables, side by side in one table with NULL where a row has no such column."""
+    columns = [c for group in NATIVE.values() for c in group]
+    parts = [table(spark, sf_dir, name).select(*group) for name, group in NATIVE.items()]
+    together = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
+    found = prep.iqr_bounds(together, columns, exact=True)
     return found.select("column", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "lower", "upper")])
 
 
@@ -177,7 +177,7 @@ SELECT obs_id, COALESCE(smoking_history, (SELECT v FROM m)) AS smoking_history F
     "impute_mean": f"""{OBS}
 SELECT obs_id, ROUND(COALESCE(bmi, (SELECT AVG(bmi) FROM obs)), 6) AS bmi FROM obs""",
     "iqr_bounds": "WITH q AS ("
-    + " UNION ALL ".join(_bounds(*pair) for pair in NATIVE)
+    + " UNION ALL ".join(_bounds(name, c) for name, group in NATIVE.items() for c in group)
     + """) SELECT "column", ROUND(q1, 6) AS q1, ROUND(q3, 6) AS q3, ROUND(q1 - 1.5 * (q3 - q1), 6) AS lower,
   ROUND(q3 + 1.5 * (q3 - q1), 6) AS upper FROM q""",
     "iqr_clip": f"""{OBS}, q AS (SELECT {", ".join(

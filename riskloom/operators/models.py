@@ -44,8 +44,13 @@ def training_rows(train: DataFrame, features: PipelineModel, label: str = LABEL)
 
 
 def fit_classifier(features: PipelineModel, classifier, rows: DataFrame) -> PipelineModel:
-    """Feature stages plus classifier as one model that loads and scores on its own."""
-    return Pipeline(stages=[*features.stages, classifier]).fit(rows)
+    """Feature stages plus classifier as one model that loads and scores on its own.
+
+    When scoring, a missing number goes through as NaN; a fit refuses it.
+    """
+    *indexers, assembler = features.stages
+    lenient = assembler.copy().setHandleInvalid("keep")
+    return Pipeline(stages=[*indexers, lenient, classifier]).fit(rows)
 
 
 def _inputs(features: PipelineModel) -> list[str]:
@@ -55,6 +60,11 @@ def _inputs(features: PipelineModel) -> list[str]:
     return [c for c in dict.fromkeys(read) if c not in made]
 
 
+def area_under_roc(df: DataFrame, score: str, label: str = LABEL) -> float:
+    """Chance that a positive row scores above a negative one, a tie counting half."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score).evaluate(df)
+
+
 def evaluate(predictions: DataFrame, model: str, label: str = LABEL) -> DataFrame:
     """One row: model, accuracy, auc, weighted precision and recall, f1.
 
@@ -62,7 +72,7 @@ def evaluate(predictions: DataFrame, model: str, label: str = LABEL) -> DataFram
     """
     slim = predictions.select(label, "prediction", "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(slim)
+        auc = area_under_roc(slim, "rawPrediction", label)
         row = weighted_metrics(slim, label, "prediction").first()
     finally:
         slim.unpersist()

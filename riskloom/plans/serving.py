@@ -16,8 +16,15 @@ from riskloom.streaming.messages import parse_messages, stamped
 from riskloom.streaming.scoring import start_scoring
 
 
+# What the sink gets besides the scored columns: the row's identity and its own time.
+KEPT = ("message_id", "event_time")
+
+
 def database_or_csv(options: dict[str, str], table: str, key: str, csv_root: str):
-    """Batch sink: append to the database, or write the batch as CSV when that fails."""
+    """Batch sink: append to the database, or write the batch as CSV when that fails.
+
+    An append that fails halfway leaves some rows in both places; `key` tells them apart.
+    """
 
     def store(df: DataFrame, batch_id: int) -> None:
         if not jdbc_available(df.sparkSession, options):
@@ -47,4 +54,4 @@ def serve(
     )
     events = stamped(parse_messages(source, keep=("message_id",)))
     model = load_model(model_path) if model_path else None
-    return start_scoring(events, sink, checkpoint, model, ("message_id",), metrics_root, every)
+    return start_scoring(events, sink, checkpoint, model, KEPT, metrics_root, every)

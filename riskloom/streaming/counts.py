@@ -33,9 +33,23 @@ def start_counts(counts: DataFrame, root: str, checkpoint: str, every: str | Non
     return start_query(counts.writeStream.outputMode("update").foreachBatch(run), checkpoint, every)
 
 
+def _changes(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.option("basePath", root).parquet(root)
+
+
+def compact_counts(spark: SparkSession, root: str, keys: Sequence[str], target: str) -> None:
+    """Fold the changes of all batches into one folder under a new root, to go on from there.
+
+    The folder carries the last batch id, so a query restarted with the same checkpoint and
+    the new root adds to it.
+    """
+    last = _changes(spark, root).agg(F.max("batch_id")).first()[0]
+    write_batch_parquet(latest_counts(spark, root, keys), last, target)
+
+
 def latest_counts(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """The newest count of every group."""
-    changes = spark.read.option("basePath", root).parquet(root)
+    changes = _changes(spark, root)
     return changes.groupBy(*keys).agg(F.max_by("n", "batch_id").alias("n"))
 
 

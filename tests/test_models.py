@@ -89,6 +89,14 @@ def test_scoring_takes_missing_and_unseen_values(spark, comparison):
     assert row["predicted_diabetes"] in (0, 1)
 
 
+def test_model_from_strict_features_still_scores_missing_values(spark, patients):
+    strict = fit_features(patients, handle_invalid="error")
+    model = models.fit_classifier(strict, models.logistic(), patients)
+    assert models.score(events(spark, {"bmi": None}), model).count() == 1
+    with pytest.raises(Exception, match="NaN"):
+        models.fit_classifier(strict, models.logistic(), patients.withColumn("bmi", F.lit(None).cast("double")))
+
+
 def test_positive_probability(spark):
     frame = spark.createDataFrame([(Vectors.dense([0.3, 0.7]),), (Vectors.dense([1.0]),)], ["probability"])
     assert column(frame.select(models.positive_probability().alias("p")), "p") == [0.7, 0.0]
