@@ -43,7 +43,7 @@ def comparison(patients):
     return compare_models(patients, fit_features(patients), "timestamp", SMALL)
 
 
-def test_defaults():
+def test_defaults(spark):
     assert models.forest().getNumTrees() == 100 and models.forest().getMaxDepth() == 10
     assert models.logistic().getMaxIter() == 20 and models.logistic().getRegParam() == 0.1
 
