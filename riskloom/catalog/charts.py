@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.observations import SCORED, predictions, scored
+from riskloom.catalog.observations import SCORED, predictions, scored, table
 from riskloom.catalog.rules import factor_union
 from riskloom.operators import decision, profile
 
@@ -54,6 +54,16 @@ def decision_flow(spark, sf_dir):
     return profile.decision_flow(scored(spark, sf_dir))
 
 
+def price_histogram(spark, sf_dir):
+    found = profile.histogram(table(spark, sf_dir, "orders"), "o_totalprice", BINS, "o_orderstatus")
+    return found.select("o_orderstatus", "bin", F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"), "n")
+
+
+def price_box_stats(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return _rounded_box(profile.box_stats(orders, "o_totalprice", "o_orderstatus"), "o_orderstatus")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,12 +76,14 @@ QUERIES = {
         high_risk_zone,
         decision_edges,
         decision_flow,
+        price_histogram,
+        price_box_stats,
     )
 }
 
 
-def _box_sql(column: str, by: str) -> str:
-    return f"""{SCORED}, v AS (SELECT {by}, CAST({column} AS DOUBLE) AS v FROM scored WHERE {column} IS NOT NULL),
+def _box_sql(column: str, by: str, source: str = "scored") -> str:
+    return f"""{SCORED}, v AS (SELECT {by}, CAST({column} AS DOUBLE) AS v FROM {source} WHERE {column} IS NOT NULL),
 q AS (SELECT {by}, MIN(v) AS lo, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS q2,
   quantile_cont(v, 0.75) AS q3, MAX(v) AS hi FROM v GROUP BY 1)
 SELECT {by}, ROUND(ANY_VALUE(lo), 6) AS "min", ROUND(ANY_VALUE(q1), 6) AS q1, ROUND(ANY_VALUE(q2), 6) AS median,
@@ -81,16 +93,22 @@ SELECT {by}, ROUND(ANY_VALUE(lo), 6) AS "min", ROUND(ANY_VALUE(q1), 6) AS q1, RO
 FROM v JOIN q USING ({by}) GROUP BY 1"""
 
 
+def _histogram_sql(column: str, by: str, source: str, digits: int) -> str:
+    return f"""{SCORED}, r AS (SELECT MIN({column}) AS lo, (MAX({column}) - MIN({column})) / {BINS} AS w FROM {source}),
+b AS (SELECT {by}, CAST(LEAST(FLOOR(({column} - lo) / w), {BINS - 1}) AS INTEGER) AS bin, lo, w
+  FROM {source}, r WHERE {column} IS NOT NULL)
+SELECT {by}, bin, ROUND(ANY_VALUE(lo + bin * w), {digits}) AS lo,
+  ROUND(ANY_VALUE(lo + (bin + 1) * w), {digits}) AS hi, COUNT(*) AS n FROM b GROUP BY 1, 2"""
+
+
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
 
 
 ORACLES = {
-    "bmi_histogram": f"""{SCORED}, r AS (SELECT MIN(bmi) AS lo, (MAX(bmi) - MIN(bmi)) / {BINS} AS w FROM scored), b AS (
-  SELECT predicted_diabetes, CAST(LEAST(FLOOR((bmi - lo) / w), {BINS - 1}) AS INTEGER) AS bin, lo, w
-  FROM scored, r WHERE bmi IS NOT NULL)
-SELECT predicted_diabetes, bin, ROUND(ANY_VALUE(lo + bin * w), 6) AS lo,
-  ROUND(ANY_VALUE(lo + (bin + 1) * w), 6) AS hi, COUNT(*) AS n FROM b GROUP BY 1, 2""",
+    "bmi_histogram": _histogram_sql("bmi", "predicted_diabetes", "scored", 6),
+    "price_histogram": _histogram_sql("o_totalprice", "o_orderstatus", "orders", 4),
+    "price_box_stats": _box_sql("o_totalprice", "o_orderstatus", "orders"),
     "score_histogram": f"""{SCORED}
 SELECT risk_level, risk_score AS bin, risk_score AS lo, risk_score + 1 AS hi, COUNT(*) AS n FROM scored GROUP BY 1, 2""",
     "bmi_box_stats": _box_sql("bmi", "predicted_diabetes"),

@@ -1,4 +1,4 @@
-"""Described by the reference but without code there: scaling, trend, alerts, geography."""
+"""Extensions: scaling, trend, alerts, geography."""
 
 from __future__ import annotations
 

@@ -52,6 +52,11 @@ def iqr_clip(spark, sf_dir):
     return clipped.select("obs_id", *[F.round(c, 6).alias(c.lower()) for c in CONTINUOUS])
 
 
+def price_clip(spark, sf_dir):
+    clipped = prep.iqr_clip(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], k=0.5, exact=True)
+    return clipped.groupBy("l_orderkey").agg(F.round(F.max("l_extendedprice"), 6).alias("top_price"))
+
+
 def string_index(spark, sf_dir):
     rows = observations(spark, sf_dir)
     indexed = features.fit_indexer(rows).transform(rows)
@@ -108,6 +113,7 @@ QUERIES = {
         impute_mean,
         iqr_bounds,
         iqr_clip,
+        price_clip,
         string_index,
         segment_index,
         feature_vector,
@@ -186,6 +192,10 @@ SELECT obs_id, ROUND(COALESCE(bmi, (SELECT AVG(bmi) FROM obs)), 6) AS bmi FROM o
         f"{c}_q1 - 1.5 * ({c}_q3 - {c}_q1) AS {c}_lo, {c}_q3 + 1.5 * ({c}_q3 - {c}_q1) AS {c}_hi" for c in _CLIPPED
     )} FROM q)
 SELECT obs_id, {", ".join(_clip(c) for c in _CLIPPED)} FROM obs, b""",
+    "price_clip": """WITH q AS (
+  SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
+SELECT l_orderkey, ROUND(MAX(LEAST(GREATEST(l_extendedprice, q1 - 0.5 * (q3 - q1)), q3 + 0.5 * (q3 - q1))), 6)
+  AS top_price FROM lineitem, q GROUP BY 1""",
     "string_index": f"""{OBS}, {_codes("gender")}, {_codes("smoking_history")}
 SELECT obs_id, CAST({_code_of("gender")} AS DOUBLE) AS gender_indexed,
   CAST({_code_of("smoking_history")} AS DOUBLE) AS smoking_history_indexed FROM obs t""",

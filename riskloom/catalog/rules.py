@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.observations import LEVELS_SQL, OBS, SCORED, observations, predictions, scored
+from riskloom.catalog.observations import LEVELS_SQL, OBS, SCORED, observations, predictions, scored, table
 from riskloom.operators import metrics, profile
 from riskloom.schema import SCORED_COLUMNS
 
@@ -66,6 +66,12 @@ def accuracy_by_hba1c_band(spark, sf_dir):
     return found.select("band", "n", *[F.round(c, 6).alias(c) for c in ("accuracy_pct", "recall_pct")])
 
 
+def label_metrics(spark, sf_dir):
+    """Class-weighted metrics between two native binary columns."""
+    found = metrics.weighted_metrics(table(spark, sf_dir, "labels"), "quality", "toxic")
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +83,7 @@ QUERIES = {
         confusion_matrix,
         classification_metrics,
         weighted_metrics,
+        label_metrics,
         batch_accuracy,
         correct_predictions,
         headline,
@@ -121,6 +128,15 @@ def factor_union(keys: str, source: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+_WEIGHTED = f"""k AS (
+  SELECT CAST(tp + fn AS DOUBLE) AS n, {_safe('tp', 'tp + fp')} AS p, {_safe('tp', 'tp + fn')} AS r, tp AS hit FROM c
+  UNION ALL
+  SELECT CAST(tn + fp AS DOUBLE), {_safe('tn', 'tn + fn')}, {_safe('tn', 'tn + fp')}, tn FROM c)
+SELECT ROUND(SUM(hit) / SUM(n), 6) AS accuracy, ROUND(SUM(p * n) / SUM(n), 6) AS weighted_precision,
+  ROUND(SUM(r * n) / SUM(n), 6) AS weighted_recall,
+  ROUND(SUM({_safe('2 * p * r', 'p + r')} * n) / SUM(n), 6) AS f1 FROM k"""
+
+
 ORACLES = {
     "risk_level_distribution": f"""{SCORED}
 SELECT lv.risk_level, lv.severity, CAST(COALESCE(c.n, 0) AS BIGINT) AS n,
@@ -140,13 +156,9 @@ LEFT JOIN (SELECT risk_level, COUNT(*) AS n FROM scored GROUP BY risk_level) c U
 SELECT gender, ROUND(a * 100, 6) AS accuracy_pct, ROUND(p * 100, 6) AS precision_pct,
   ROUND(r * 100, 6) AS recall_pct, ROUND({_safe('2 * p * r', 'p + r')}, 6) AS f1,
   ROUND(s * 100, 6) AS specificity_pct FROM m""",
-    "weighted_metrics": f"""{SCORED}, c AS (SELECT {_CONFUSION} FROM scored), k AS (
-  SELECT CAST(tp + fn AS DOUBLE) AS n, {_safe('tp', 'tp + fp')} AS p, {_safe('tp', 'tp + fn')} AS r, tp AS hit FROM c
-  UNION ALL
-  SELECT CAST(tn + fp AS DOUBLE), {_safe('tn', 'tn + fn')}, {_safe('tn', 'tn + fp')}, tn FROM c)
-SELECT ROUND(SUM(hit) / SUM(n), 6) AS accuracy, ROUND(SUM(p * n) / SUM(n), 6) AS weighted_precision,
-  ROUND(SUM(r * n) / SUM(n), 6) AS weighted_recall,
-  ROUND(SUM({_safe('2 * p * r', 'p + r')} * n) / SUM(n), 6) AS f1 FROM k""",
+    "weighted_metrics": f"{SCORED}, c AS (SELECT {_CONFUSION} FROM scored), {_WEIGHTED}",
+    "label_metrics": f"""WITH scored AS (SELECT quality AS actual_diabetes, toxic AS predicted_diabetes FROM labels),
+c AS (SELECT {_CONFUSION} FROM scored), {_WEIGHTED}""",
     "batch_accuracy": f"""{SCORED}
 SELECT strftime(processing_time, '%Y-%m-%d') AS day, COUNT(*) AS n,
   CAST(SUM(CASE WHEN prediction_match THEN 1 ELSE 0 END) AS BIGINT) AS correct,
