@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from riskloom.catalog.observations import SCORED, observations
 from riskloom.catalog.streams import _score
@@ -30,11 +29,8 @@ def _split(spark, sf_dir):
 def _fitted(spark, sf_dir, name):
     """A classifier and its metrics, fitted once per session and folder."""
     train, holdout, features = _split(spark, sf_dir)
-    rows = ops.training_rows(train, features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with ops.cached(ops.training_rows(train, features)) as rows:
         return fit_and_evaluate(name, rows, holdout, features)
-    finally:
-        rows.unpersist()
 
 
 def forest_metrics(spark, sf_dir):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -33,14 +34,29 @@ def logistic(label: str = LABEL, **params) -> LogisticRegression:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: rows of few files would keep the other cores idle."""
+    """At least one partition per core: rows of few files would keep the other cores idle.
+
+    For cached rows and micro-batches, whose partitions are known without running their plan.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows cached, and spread, while they are read over and over."""
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
+    wide = spread(rows)
+    try:
+        yield wide if wide is rows else wide.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        wide.unpersist()
+        rows.unpersist()
+
+
 def training_rows(train: DataFrame, features: PipelineModel, label: str = LABEL) -> DataFrame:
     """Only the columns that fitting reads."""
-    return spread(train.select(*_inputs(features), label))
+    return train.select(*_inputs(features), label)
 
 
 def fit_classifier(features: PipelineModel, classifier, rows: DataFrame) -> PipelineModel:
@@ -130,20 +146,18 @@ def cross_validate(
     """(reg_param, avg_accuracy, is_best) of a logistic regression over a grid of penalties."""
     classifier = logistic(label)
     grid = ParamGridBuilder().addGrid(classifier.regParam, list(penalties)).build()
-    prepared = spread(features.transform(train)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        validator = CrossValidator(
-            estimator=classifier,
-            estimatorParamMaps=grid,
-            evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-            numFolds=folds,
-            seed=42,
-            parallelism=2,
-            foldCol=fold_column or "",
-        )
+    validator = CrossValidator(
+        estimator=classifier,
+        estimatorParamMaps=grid,
+        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
+        numFolds=folds,
+        seed=42,
+        parallelism=2,
+        foldCol=fold_column or "",
+    )
+    kept = ["features", label] + ([fold_column] if fold_column else [])
+    with cached(features.transform(train).select(kept)) as prepared:
         averages = validator.fit(prepared).avgMetrics
-    finally:
-        prepared.unpersist()
     best = max(range(len(averages)), key=averages.__getitem__)
     rows = [(float(p), float(a), i == best) for i, (p, a) in enumerate(zip(penalties, averages, strict=True))]
     return train.sparkSession.createDataFrame(rows, "reg_param double, avg_accuracy double, is_best boolean")

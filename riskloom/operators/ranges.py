@@ -90,46 +90,70 @@ def exact_quantiles(
         .unpivot(list(by), list(columns), "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    bucketed = in_buckets(values, "value", df.count() * len(columns), "bucket")
-
-    ordered = Window.partitionBy(*group).orderBy("bucket")
-    sizes = bucketed.groupBy(*group, "bucket").agg(F.count("*").alias("size"))
-    offsets = sizes.select(
-        *group,
-        "bucket",
-        (F.sum("size").over(ordered) - F.col("size")).alias("offset"),
-        F.sum("size").over(ordered).alias("end"),
-        F.sum("size").over(Window.partitionBy(*group)).alias("total"),
+    rows = df.count() * len(columns)
+    hits = _small_hits(values, group, shares) if bucket_count(rows) == 1 else _hits(values, group, shares, rows)
+    weight = _position() - F.floor(_position())
+    return (
+        hits.groupBy(*group, "share", "total")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
+        .select(*group, "share", (F.col("low") + (F.col("high") - F.col("low")) * weight).alias("value"))
+    )
+
+
+def _small_hits(values: DataFrame, group: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Values at the wanted ranks of a table that is small enough to order each group at once."""
+    whole = Window.partitionBy(*group)
+    counted = (
+        values.groupBy(*group, "value")
+        .agg(F.count("*").alias("copies"))
+        .withColumn("total", F.sum("copies").over(whole))
+        .withColumn("last", F.sum("copies").over(whole.orderBy("value")))
+        .withColumn("first", F.col("last") - F.col("copies"))
     )
-    # Wanted ranks: the two rows around each share's position.
-    position = F.col("share") * (F.col("total") - 1)
-    ranks = (
-        offsets.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
-        .where((F.col("rank") >= F.col("offset")) & (F.col("rank") < F.col("end")))
-        .select(*group, "bucket", "offset", "total", "share", "rank")
+    return _at_ranks(counted, shares)
+
+
+def _hits(values: DataFrame, group: Sequence[str], shares: Sequence[float], rows: int) -> DataFrame:
+    """Values at the wanted ranks, found bucket by bucket."""
+    keys = [*group, "bucket"]
+    bucketed = in_buckets(values, "value", rows, "bucket")
+    whole = Window.partitionBy(*group)
+    sizes = bucketed.groupBy(*keys).agg(F.count("*").alias("size"))
+    spans = (
+        sizes.withColumn("total", F.sum("size").over(whole))
+        .withColumn("last", F.sum("size").over(whole.orderBy("bucket")))
+        .withColumn("first", F.col("last") - F.col("size"))
     )
-    ranks = small_or_same(ranks)
-    wanted = ranks.select(*group, "bucket", "offset").distinct()
-    within = Window.partitionBy(*group, "bucket").orderBy("value")
+    ranks = small_or_same(
+        _at_ranks(spans, shares).select(*keys, F.col("first").alias("offset"), "total", "share", "rank")
+    )
+    wanted = ranks.select(*keys, "offset").distinct()
+    within = Window.partitionBy(*keys).orderBy("value")
     counted = (
         bucketed.alias("l")
-        .join(wanted.alias("r"), _matching([*group, "bucket"]))
+        .join(wanted.alias("r"), _matching(keys))
         .select("l.*", "r.offset")
-        .groupBy(*group, "bucket", "offset", "value")
+        .groupBy(*keys, "offset", "value")
         .agg(F.count("*").alias("copies"))
         .withColumn("last", F.col("offset") + F.sum("copies").over(within))
         .withColumn("first", F.col("last") - F.col("copies"))
     )
     in_reach = (F.col("r.rank") >= F.col("l.first")) & (F.col("r.rank") < F.col("l.last"))
-    hits = counted.alias("l").join(
-        ranks.alias("r"), _matching([*group, "bucket"]) & in_reach
-    )
-    weight = position - F.floor(position)
+    return counted.alias("l").join(ranks.alias("r"), _matching(keys) & in_reach).select("r.*", "l.value")
+
+
+def _position():
+    """Where a share falls between the 0-based ranks."""
+    return F.col("share") * (F.col("total") - 1)
+
+
+def _at_ranks(spans: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """Spans of ranks [first, last) that hold one of the two ranks around a share's position."""
+    around = F.array_distinct(F.array(F.floor(_position()), F.ceil(_position())))
     return (
-        hits.groupBy(*[F.col(f"r.{k}") for k in group], "share", "total")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
-        .select(*group, "share", (F.col("low") + (F.col("high") - F.col("low")) * weight).alias("value"))
+        spans.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+        .withColumn("rank", F.explode(around))
+        .where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
     )
 
 

@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
+from pyspark.sql import functions as F
 
 from riskloom.operators.features import hash_split
 from riskloom.operators.models import (
     best_model,
+    cached,
     evaluate,
     fit_classifier,
     forest,
@@ -58,13 +59,14 @@ def compare_models(
     train_percent: int = 80,
     seed: int = 42,
 ) -> Comparison:
-    """Fit every classifier on the same hash split of `key` and compare them on the holdout."""
-    train, holdout = hash_split(data, key, train_percent, seed)
-    rows = training_rows(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    """Fit every classifier on the same hash split of `key` and compare them on the holdout.
+
+    Rows without a label can be neither learned from nor compared with.
+    """
+    labelled = data.where(F.col(label).isNotNull())
+    train, holdout = hash_split(labelled, key, train_percent, seed)
+    with cached(training_rows(train, features, label)) as rows:
         fitted = {n: fit_and_evaluate(n, rows, holdout, features, label, classifiers) for n in classifiers}
-    finally:
-        rows.unpersist()
     table = model_comparison([metrics for _, metrics in fitted.values()])
     models = {name: model for name, (model, _) in fitted.items()}
     return Comparison(models, table, best_model(table), holdout)

@@ -55,6 +55,12 @@ def test_comparison(comparison):
     assert comparison.best_predictions().count() == comparison.holdout.count()
 
 
+def test_rows_without_label_are_left_out(spark, patients):
+    some = patients.unionByName(events(spark, {"diabetes": None, "timestamp": 10**6}))
+    found = compare_models(some, fit_features(some), "timestamp", {"LogisticRegression": models.logistic})
+    assert found.best_predictions().where("diabetes IS NULL").count() == 0
+
+
 def test_first_model_wins_a_tie(spark):
     schema = "model string, accuracy double, auc double, precision double, recall double, f1 double"
     tied = [spark.createDataFrame([(name, 0.5, 0.1, 0.1, 0.1, 0.1)], schema) for name in ("zeta", "alpha")]

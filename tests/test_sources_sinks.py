@@ -1,10 +1,13 @@
 import datetime as dt
+from unittest.mock import MagicMock
 
 import pytest
 from helpers import events, scored
+from pyspark.errors import AnalysisException
 
 from riskloom import session
 from riskloom.sinks import files, jdbc, tables
+from riskloom.sinks import kafka as to_topic
 from riskloom.sources import files as sources
 from riskloom.sources import jdbc as database
 from riskloom.sources import kafka
@@ -126,3 +129,66 @@ def test_only_a_local_session_may_go_without_a_shared_folder():
     assert session.shared_dir(Unset("local[2]")) == session.shared_dir(Unset("local[4]"))
     with pytest.raises(ValueError, match="checkpoint.dir"):
         session.shared_dir(Unset("spark://host:7077"))
+
+
+class Recorder:
+    """A reader or writer that notes its options."""
+
+    def __init__(self):
+        self.noted = {}
+
+    def format(self, name):
+        self.noted["format"] = name
+        return self
+
+    def options(self, **options):
+        self.noted.update(options)
+        return self
+
+    def option(self, key, value):
+        self.noted[key] = value
+        return self
+
+    def mode(self, mode):
+        self.noted["mode"] = mode
+        return self
+
+    def save(self):
+        self.noted["saved"] = True
+
+    load = save
+
+
+def test_jdbc_append_options():
+    frame = MagicMock(write=Recorder())
+    jdbc.write_jdbc(frame, database.jdbc_options("jdbc:x", "u", "p", "d"), "predictions")
+    noted = frame.write.noted
+    assert (noted["format"], noted["dbtable"], noted["mode"], noted["saved"]) == ("jdbc", "predictions", "append", True)
+
+
+def test_partitioned_jdbc_read_options():
+    spark = MagicMock(read=Recorder())
+    database.read_table(spark, {"url": "jdbc:x"}, "predictions", "processing_time", "2024-01-01", "2024-02-01", 8)
+    noted = spark.read.noted
+    assert noted["partitionColumn"] == "processing_time" and noted["numPartitions"] == 8
+
+
+def test_jdbc_table_is_emptied_by_truncating_overwrite(spark):
+    writer = Recorder()
+    fake = MagicMock()
+    fake.read.format().options().load().select().first.return_value = (12,)
+    fake.createDataFrame.return_value = MagicMock(write=writer)
+    assert tables.clear_jdbc_table(fake, {"url": "jdbc:x"}, "predictions", spark.range(1).schema) == 12
+    assert writer.noted["truncate"] is True and writer.noted["mode"] == "overwrite"
+
+
+def test_messages_go_to_the_topic():
+    frame = MagicMock(write=Recorder())
+    to_topic.write_kafka(frame, "h:9092", "t")
+    assert frame.write.noted["topic"] == "t" and frame.write.noted["format"] == "kafka"
+
+
+def test_kafka_readers_ask_for_the_connector(spark):
+    for read in (kafka.read_kafka, kafka.read_kafka_batch):
+        with pytest.raises(AnalysisException, match="kafka"):
+            read(spark, "h:9092", "t")
