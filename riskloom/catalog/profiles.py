@@ -233,7 +233,6 @@ SELECT ROUND(a, 6) AS avg_bmi, CASE WHEN a < 25 THEN 'normal' ELSE 'high' END AS
 SELECT day, n, n - added AS prev_n, added AS growth,
   ROUND(COALESCE(added * CAST(100 AS DOUBLE) / NULLIF(n - added, 0), 0), 6) AS growth_pct FROM t""",
     "session_span": f"""{SCORED}, s AS (
-  SELECT patient_id, CAST(FLOOR(epoch(MAX(processing_time))) - FLOOR(epoch(MIN(processing_time))) AS BIGINT) AS span
-  FROM scored GROUP BY 1)
+  SELECT patient_id, date_sub('second', MIN(processing_time), MAX(processing_time)) AS span FROM scored GROUP BY 1)
 SELECT patient_id, span // 3600 AS hours, (span % 3600) // 60 AS minutes, span % 60 AS seconds FROM s""",
 }

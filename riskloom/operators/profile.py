@@ -41,8 +41,9 @@ def factor_points(df: DataFrame, keys: Sequence[str], factors=RISK_FACTORS) -> D
 
 
 def since(df: DataFrame, instant: dt.datetime, column: str = "processing_time") -> DataFrame:
-    """Rows after the instant, which is cut to whole seconds."""
-    return df.where(F.col(column) > F.lit(instant.replace(microsecond=0)))
+    """Rows after the instant, which is cut to whole seconds and read in the column's own time zone rules."""
+    start = F.lit(instant.strftime("%Y-%m-%d %H:%M:%S")).cast(df.schema[column].dataType)
+    return df.where(F.col(column) > start)
 
 
 def recent(df: DataFrame, order: Sequence[str], n: int, columns: Sequence[str]) -> DataFrame:
@@ -231,8 +232,7 @@ def record_growth(df: DataFrame, column: str = "processing_time") -> DataFrame:
 
 def session_span(df: DataFrame, by: str, column: str = "processing_time") -> DataFrame:
     """Time between first and last row per group as hours (days included), minutes, seconds."""
-    instant = F.col(column).cast("timestamp")
-    span = F.unix_timestamp(F.max(instant)) - F.unix_timestamp(F.min(instant))
+    span = F.timestamp_diff("SECOND", F.min(column), F.max(column))
     return df.groupBy(by).agg(span.alias("span")).select(
         by,
         F.floor(F.col("span") / 3600).alias("hours"),
