@@ -70,23 +70,22 @@ def stacked_positions(spark, sf_dir):
     return found.select("gender", "risk_level", *[F.round(c, 6).alias(c) for c in ("pct", "label_y")])
 
 
-def _severe(spark, sf_dir):
-    """Level counts of the rows scoring 6 or more, where two levels cannot occur."""
-    rows = scored(spark, sf_dir).where("risk_score >= 6")
-    return rows.groupBy("risk_level").agg(F.count("*").alias("n"))
+def _common(spark, sf_dir):
+    """Counts of the levels that hold at least a fifth of the rows; the others are lacking."""
+    return profile.level_distribution(scored(spark, sf_dir)).where("pct >= 20").select("risk_level", "n")
 
 
 def missing_levels(spark, sf_dir):
     dim = dims.members(spark, "risk_level", LEVEL_NAMES)
-    return dims.add_absent(_severe(spark, sf_dir), dim, "risk_level", {"n": 0})
+    return dims.add_absent(_common(spark, sf_dir), dim, "risk_level", {"n": 0})
 
 
 def unseen_levels(spark, sf_dir):
-    return dims.absent(_severe(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
+    return dims.absent(_common(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
 
 
 def level_order(spark, sf_dir):
-    return dims.with_order(_severe(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
+    return dims.with_order(_common(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
 
 
 def risk_radar(spark, sf_dir):
@@ -150,6 +149,8 @@ LEFT JOIN {source} s ON s.{row} = r.{row} AND s.{column} = c.{column} GROUP BY 1
 
 
 _PAIRS = ("age", "bmi", "blood_glucose_level", "hba1c_level", "risk_score", "predicted_diabetes")
+_COMMON = """c AS (SELECT risk_level, COUNT(*) AS n FROM scored GROUP BY 1
+  HAVING round_even(COUNT(*) * CAST(100 AS DOUBLE) / (SELECT COUNT(*) FROM scored), 1) >= 20)"""
 _RADAR = ("bmi", "blood_glucose_level", "hba1c_level", "age")
 
 ORACLES = {
@@ -191,15 +192,12 @@ FROM ({_share_sql('o_orderpriority', 'o_orderstatus', 'orders')})""",
   SELECT gender, risk_level, pct, COALESCE(SUM(pct) OVER (PARTITION BY gender ORDER BY risk_level
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + pct / 2 AS label_y FROM p)
 SELECT gender, risk_level, ROUND(pct, 6) AS pct, ROUND(label_y, 6) AS label_y FROM y WHERE pct >= 5""",
-    "missing_levels": f"""{SCORED}
-SELECT lv.risk_level, COUNT(s.obs_id) AS n FROM {LEVELS_SQL}
-LEFT JOIN scored s ON s.risk_level = lv.risk_level AND s.risk_score >= 6 GROUP BY 1""",
-    "unseen_levels": f"""{SCORED}
-SELECT risk_level, severity FROM {LEVELS_SQL}
-WHERE risk_level NOT IN (SELECT risk_level FROM scored WHERE risk_score >= 6)""",
-    "level_order": f"""{SCORED}
-SELECT s.risk_level, COUNT(*) AS n, lv.severity FROM scored s JOIN {LEVELS_SQL} ON s.risk_level = lv.risk_level
-WHERE risk_score >= 6 GROUP BY 1, 3""",
+    "missing_levels": f"""{SCORED}, {_COMMON}
+SELECT lv.risk_level, COALESCE(c.n, 0) AS n FROM {LEVELS_SQL} LEFT JOIN c USING (risk_level)""",
+    "unseen_levels": f"""{SCORED}, {_COMMON}
+SELECT risk_level, severity FROM {LEVELS_SQL} WHERE risk_level NOT IN (SELECT risk_level FROM c)""",
+    "level_order": f"""{SCORED}, {_COMMON}
+SELECT c.risk_level, c.n, lv.severity FROM c JOIN {LEVELS_SQL} ON c.risk_level = lv.risk_level""",
     "risk_radar": f"{SCORED} "
     + " UNION ALL ".join(
         [

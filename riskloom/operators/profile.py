@@ -314,19 +314,25 @@ def high_risk_profile(df: DataFrame, level: str = LEVEL_NAMES[0]) -> DataFrame:
 
 
 def most_at_risk(df: DataFrame, level: str = LEVEL_NAMES[0]) -> DataFrame:
-    """(dimension, value, n): most frequent gender and age band of a level, smallest on a tie."""
-    dimensions = {"gender": F.col("gender"), "age_band": age_band(F.col("age"))}
+    """(dimension, value, n): most frequent gender and age band of a level, smallest on a tie.
+
+    The level is counted, not filtered on: a filter would be pushed down to the scan together
+    with a copy of the whole score for each of its uses.
+    """
+    dimensions = ["gender", "age_band"]
+    cells = df.groupBy("gender", age_band(F.col("age")).alias("age_band")).agg(
+        count_if(F.col("risk_level") == level).alias("n")
+    )
     counts = (
-        df.where(F.col("risk_level") == level)
-        .select(*[value.alias(name) for name, value in dimensions.items()])
-        .unpivot([], list(dimensions), "dimension", "value")
+        cells.unpivot(["n"], dimensions, "dimension", "value")
         .where(F.col("value").isNotNull())
         .groupBy("dimension", "value")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") > 0)
     )
     rank = Window.partitionBy("dimension").orderBy(F.col("n").desc(), F.col("value"))
     top = counts.withColumn("rank", F.row_number().over(rank)).where("rank = 1").drop("rank")
-    dim = members(df.sparkSession, "dimension", list(dimensions)).drop("rank")
+    dim = members(df.sparkSession, "dimension", dimensions).drop("rank")
     return complete(top, dim, "dimension", {"value": UNKNOWN, "n": 0})
 
 
