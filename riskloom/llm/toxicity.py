@@ -2,9 +2,9 @@
 
 Confirmed toxic texts are the positives, texts of any kind the unlabelled ones; no text counts as harmless. With
 class prior p, the risk of a linear score is p * R(positives as 1) + max(0, R(unlabelled as 0) - p *
-R(positives as 0)). The part in the maximum estimates the risk of harmless texts; where a mini-batch makes it
-negative, which is a sign of overfitting, the step goes the other way. Several classifiers are trained in numpy, each in
-a task of its own on its own mini-batches, and a text's score is the mean of their probabilities.
+R(positives as 0)), R being the mean sigmoid loss. The part in the maximum estimates the risk of harmless texts;
+where it turns negative, which is a sign of overfitting, the step goes the other way. Several classifiers are
+trained in numpy, each in a task of its own on its own bootstrap sample, and a text's score is their mean.
 
 Features are the distinct words of the whole text and the first letters of its longer words, hashed. Fitting uses at
 most POSITIVES and about UNLABELLED texts; scoring reads all.
@@ -26,11 +26,12 @@ POSITIVES = 4000
 UNLABELLED = 16000
 MODELS = 4
 FEATURES = 1 << 18
-EVIDENCE = 6.0  # standard errors by which a feature must be more frequent in positives than in unlabelled texts
+#: A feature is used if it is in this share of the positives at least, and more often there than among unlabelled
+#: texts by this factor and by so many standard errors.
+SHARE, LIFT, ERRORS = 0.01, 4.0, 4.0
 STEM = 5  # bytes of a word's beginning
-STEPS = 6000
+STEPS = 800
 RATE = 0.05
-BATCH = 512
 
 NO_LETTER = np.ones(256, bool)
 NO_LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("0"), ord("9") + 1)]] = False
@@ -71,8 +72,8 @@ def _logistic(z: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float, seed: int) -> tuple[np.ndarray, float]:
-    """Weights of the features and the bias. Features without EVIDENCE for the positives have weight 0."""
-    useful = evidence(rows, positive) >= EVIDENCE
+    """Weights of the features and the bias. Features are only ever evidence for a positive: no weight is negative."""
+    useful = useful_features(rows, positive)
     rows = [r[useful[r]] for r in rows]
     weights, bias = np.zeros(FEATURES), float(np.log(prior / (1 - prior)))
     column = np.cumsum(useful) - 1  # place of a useful feature among them
@@ -84,37 +85,39 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float, seed: int) -
     own, other = np.flatnonzero(positive), np.flatnonzero(~positive)
     if not len(own) or not len(other):
         return weights, -30.0
+    # A bootstrap sample of its own makes the classifiers differ.
+    picked = np.concatenate([rng.choice(own, len(own)), rng.choice(other, len(other))])
+    is_p = positive[picked]
+    lengths = np.array([len(rows[i]) for i in picked])
+    flat, borders = np.concatenate([rows[i] for i in picked]), np.concatenate([[0], np.cumsum(lengths)])
+    share = np.where(is_p, prior / len(own), 1 / len(other))
     for step in range(1, STEPS + 1):
-        u, p = rng.choice(other, BATCH), rng.choice(own, BATCH // 4)
-        picked = [rows[i] for i in (*p, *u)]
-        lengths = [len(r) for r in picked]
-        flat = np.concatenate(picked)
-        q = _logistic(_sums(theta, flat, np.concatenate([[0], np.cumsum(lengths)])) + theta[-1])
-        is_p = np.arange(len(picked)) < len(p)
-        loss_as_0 = -np.log1p(-np.minimum(q, 1 - 1e-12))
-        harmless = loss_as_0[~is_p].mean() - prior * loss_as_0[is_p].mean()
-        # Slopes of the two parts of the risk in the scores.
-        as_1 = np.where(is_p, prior * (q - 1) / len(p), 0)
-        as_0 = np.where(is_p, -prior * q / len(p), q / len(u))
+        q = _logistic(_sums(theta, flat, borders) + theta[-1])
+        # The sigmoid loss is q as 0 and 1 - q as 1.
+        harmless = (np.where(is_p, -share, share) * q).sum()
+        rise = share * q * (1 - q)
+        as_1, as_0 = np.where(is_p, -rise, 0), np.where(is_p, -rise, rise)
         slope = as_1 + as_0 if harmless >= 0 else -as_0
         gradient = np.bincount(flat, weights=np.repeat(slope, lengths), minlength=len(theta))
         gradient[-1] = slope.sum()
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient * gradient
         theta -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+        np.maximum(theta[:-1], 0, out=theta[:-1])
     weights[useful], bias = theta[:-1], theta[-1]
     return weights, float(bias)
 
 
-def evidence(rows: list[np.ndarray], positive: np.ndarray) -> np.ndarray:
-    """Difference of each feature's share of positive and of unlabelled texts, in standard errors."""
+def useful_features(rows: list[np.ndarray], positive: np.ndarray) -> np.ndarray:
+    """Which features speak for the positives, by SHARE, LIFT and ERRORS."""
     share, n = [], []
     for kind in (True, False):
         some = [r for r, p in zip(rows, positive, strict=True) if p == kind]
         n.append(max(len(some), 1))
         share.append(np.bincount(np.concatenate([np.zeros(0, np.int64), *some]), minlength=FEATURES) / n[-1])
     both = (share[0] * n[0] + share[1] * n[1]) / sum(n)
-    return (share[0] - share[1]) / np.sqrt(np.maximum(both * (1 - both) * (1 / n[0] + 1 / n[1]), 1e-12))
+    error = np.sqrt(np.maximum(both * (1 - both) * (1 / n[0] + 1 / n[1]), 1e-12))
+    return (share[0] >= SHARE) & (share[0] >= LIFT * share[1]) & (share[0] - share[1] >= ERRORS * error)
 
 
 def _train(prior: float):
@@ -175,6 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[np.
     unlabelled = texts.where(F.pmod(mixed, F.lit(1 << 40)) < int(limit)).withColumn("positive", F.lit(False))
     confirmed = texts.join(F.broadcast(listed), "doc_id").select("doc_id", "text", "positive")
     sample = confirmed.unionByName(unlabelled).select("positive", "text", mixed.alias("mixed"))
+    sample = sample.dropDuplicates(["positive", "text"])  # copies are no further evidence
     rows = sample.mapInArrow(_samples, "model int, positive boolean, mixed long, features array<int>")
     fitted = rows.groupBy("model").applyInPandas(_train(toxic / count), "model int, feature int, weight double")
     table = fitted.toPandas()  # at most MODELS * (FEATURES + 1) rows
