@@ -35,7 +35,7 @@ from riskloom.session import run_dir
 
 SIZE = 5
 PERCENT = 80
-FREQUENT = 1 << 20  # shingles that go last in the first order
+FREQUENT = 1 << 19  # shingles that go last in the first order
 GATHERED = 8_000_000  # shingles a task counts at once to find repeated ones
 FILTER_BITS = 1 << 25  # bits of the filter that tells which texts are left
 BLOCK = 256  # texts of one side of a comparing task
@@ -170,6 +170,25 @@ def _filter_of(classes: DataFrame):
     return spark.sparkContext.broadcast(bits)
 
 
+def _frequent(often: DataFrame, path: str):
+    """Broadcast of at most FREQUENT tokens, sorted, and their counts: all that have a count or more."""
+    spark = often.sparkSession
+    often.write.parquet(path)
+    often = spark.read.parquet(path)
+    level = F.floor(F.log2("copies") * 16)
+    steps = often.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    least, total = None, 0
+    for step in steps:  # a few hundred at most
+        total += step["n"]
+        if total > FREQUENT:
+            break
+        least = step["level"]
+    top = often.where(level >= (least if least is not None else 1 << 30)).toArrow()
+    known, copies = top["token"].to_numpy().view(np.uint64), top["copies"].to_numpy()
+    order = np.argsort(known)
+    return spark.sparkContext.broadcast((known[order], copies[order].astype(np.int32)))
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows (token, cid, ...) of tokens that several classes have, each class once, with `df`."""
     by_token = Window.partitionBy("token")
@@ -260,10 +279,7 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     members = summary.where("n IS NOT NULL").select("doc_id", "cid", "second", "n")
 
     often = summary.where("token IS NOT NULL").groupBy("token").agg(F.sum("copies").alias("copies"))
-    top = often.orderBy(F.desc("copies"), "token").limit(FREQUENT).toArrow()
-    known, copies = top["token"].to_numpy().view(np.uint64), top["copies"].to_numpy()
-    order = np.argsort(known)
-    frequent = spark.sparkContext.broadcast((known[order], copies[order]))
+    frequent = _frequent(often, f"{place}/often")
 
     named = texts.where("doc_id IS NOT NULL")
     prefixes = named.mapInArrow(_prefixes(size, percent, frequent), "cid long, tokens array<long>")

@@ -271,6 +271,7 @@ def ppm_scores(docs: DataFrame, training: Column) -> DataFrame:
             chosen = chosen.mapInArrow(_own_part(part, parts), "kind int, key long, n long")
         table = chosen.toArrow()
         kind, key, n = (table[c].to_numpy() for c in ("kind", "key", "n"))
+        del table
         key = key.view(np.uint64)
         shared = spark.sparkContext.broadcast(
             (key[kind == 0], n[kind == 0], short, key[kind == 1], n[kind == 1], texts, unseen)
