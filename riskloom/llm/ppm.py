@@ -28,8 +28,8 @@ from riskloom.session import run_dir
 ORDER = 5
 SHORT = 2  # contexts up to so many bytes go with every part; there are at most 256 ** 3 strings of them
 END = 0xFF  # occurs in no UTF-8 text
-PART = 6_000_000  # strings, or words, of one part
-GATHERED = 6_000_000
+PART = 4_000_000  # strings, or words, of one part
+GATHERED = 4_000_000
 BATCH_BYTES = 1 << 20
 SMOOTHING = 0.1
 
@@ -203,9 +203,12 @@ def part_of(contexts: np.ndarray, parts: int) -> np.ndarray:
 
 def _score(shared, part: int, parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, short, known, often, end, unseen = shared.value
-        model, table = Model(keys, counts, short), Table(known)
-        often = often[table.order]
+        state = shared.value  # a worker keeps it, and so the model, from task to task
+        if "model" not in state:
+            keys, counts, short, known, often = state.pop("counts")
+            state["model"], state["words"] = Model(keys, counts, short), Table(known)
+            state["often"] = often[state["words"].order]
+        model, table, often, end, unseen = (state[k] for k in ("model", "words", "often", "end", "unseen"))
         for batch in batches:
             for rows, texts in _batches(batch, 2):
                 data, starts = stream_of(texts)
@@ -273,9 +276,10 @@ def ppm_scores(docs: DataFrame, training: Column) -> DataFrame:
         kind, key, n = (table[c].to_numpy() for c in ("kind", "key", "n"))
         del table
         key = key.view(np.uint64)
-        shared = spark.sparkContext.broadcast(
-            (key[kind == 0], n[kind == 0], short, key[kind == 1], n[kind == 1], texts, unseen)
-        )
+        sides = (key[kind == 0], n[kind == 0], short, key[kind == 1], n[kind == 1])
+        del kind, key, n
+        shared = spark.sparkContext.broadcast({"counts": sides, "end": texts, "unseen": unseen})
+        del sides
         scored.append(rows.mapInArrow(_score(shared, part, parts), schema))
     whole = scored[0]
     if parts > 1:
