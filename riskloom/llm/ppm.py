@@ -4,8 +4,8 @@ A text is the sequence of its words (A-Z as a-z) with a blank between, then an e
 before its first byte hold end marks. Counts of all strings of ORDER + 1 bytes in the training texts, taken over
 the whole corpus, hold the counts of all shorter contexts. A byte is looked for in the longest context seen
 in training. If it never followed there, the model escapes to the next shorter context, with
-probability D / (T + D) for T occurrences and D different followers, and the bytes that followed in the longer
-one are excluded there. After the empty context all bytes left are equally likely.
+probability D / 2T for T occurrences and D different followers, and the bytes that followed in the longer one are
+excluded there; a byte seen n times has the probability (2n - 1) / 2T. After the empty context all bytes left are equally likely.
 
 Counts are shuffled and summed by Spark. They are broadcast in parts of bounded size: a part has all contexts
 whose last three bytes hash to it, and a share of the words, and the texts are read once for each
@@ -28,7 +28,7 @@ from riskloom.session import run_dir
 ORDER = 5
 SHORT = 2  # contexts up to so many bytes go with every part; there are at most 256 ** 3 strings of them
 END = 0xFF  # occurs in no UTF-8 text
-PART = 4_000_000  # strings, or words, of one part
+PART = 2_000_000  # strings, or words, of one part
 GATHERED = 4_000_000
 BATCH_BYTES = 1 << 20
 SMOOTHING = 0.1
@@ -108,7 +108,7 @@ class Table:
     """Places of 64-bit keys, found by a hash and a short walk, for many keys at once."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(len(keys)).bit_length() + 1)
+        self.bits = max(4, int(len(keys)).bit_length() - 1)
         bucket = self._bucket(keys)
         self.order = np.argsort(bucket, kind="stable")
         self.keys = np.concatenate([keys[self.order], np.zeros(1, np.uint64)])
@@ -158,11 +158,11 @@ class Model:
             level["sorted_n"] = n[level["pairs"].order]
             for name in ("total", "kinds", *(["excluded"] if k else [])):
                 level[name] = level[name][level["contexts"].order]
-            del level["n"]
+            del level["n"], level["pairs"].order, level["contexts"].order
             self.levels.append(level)
         top = self.levels[order]
         context = top["contexts"].find(top["pairs"].keys[:-1] >> np.uint64(8))
-        self.direct = np.log10(top["sorted_n"] / (top["total"] + top["kinds"])[context]) if len(keys) else np.zeros(0)
+        self.direct = np.log10((2 * top["sorted_n"] - 1) / (2 * top["total"])[context]).astype(np.float32) if len(keys) else np.zeros(0)
 
     def scores(self, key: np.ndarray) -> np.ndarray:
         """log10 of the probability of the last byte of each string of order + 1 bytes, given the others."""
@@ -181,9 +181,9 @@ class Model:
             total = np.where(seen, level["total"][context] if len(level["total"]) else 0, 0) - less_n
             kinds = np.where(seen, level["kinds"][context] if len(level["kinds"]) else 0, 0) - less_kinds
             there = pair >= 0
-            out[rest[there]] += np.log10(level["sorted_n"][pair[there]] / (total + kinds)[there])
+            out[rest[there]] += np.log10((2 * level["sorted_n"][pair[there]] - 1) / (2 * total)[there])
             escapes = seen & ~there & (kinds > 0)
-            out[rest[escapes]] += np.log10(kinds[escapes] / (total + kinds)[escapes])
+            out[rest[escapes]] += np.log10(kinds[escapes] / (2 * total)[escapes])
             if not k:
                 left = 256 - np.where(seen, level["kinds"][context] if len(level["kinds"]) else 0, 0)
                 out[rest[~there]] -= np.log10(left[~there])
@@ -207,7 +207,8 @@ def _score(shared, part: int, parts: int) -> Callable:
         if "model" not in state:
             keys, counts, short, known, often = state.pop("counts")
             state["model"], state["words"] = Model(keys, counts, short), Table(known)
-            state["often"] = often[state["words"].order]
+            state["often"] = often[state["words"].order].astype(np.int32)
+            del keys, counts, short, known, often, state["words"].order
         model, table, often, end, unseen = (state[k] for k in ("model", "words", "often", "end", "unseen"))
         for batch in batches:
             for rows, texts in _batches(batch, 2):
