@@ -9,20 +9,18 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Sequence
 
-import numpy as np
-
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-REMEMBERED = 900_000  # pieces and parts a worker keeps at once
+REMEMBERED = 700_000  # pieces a worker keeps at once
 LONGEST = 64  # longer pieces are not kept
 CUT = re.compile(r"(?<=\S) ")
 #: A blank after another white space character; only then can a blank belong to what stands before it.
-WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
+WHITE += "".join(map(chr, range(0x2000, 0x200B)))
 RUNS = tuple(c + " " for c in WHITE)
-LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
-#: Letters, a mark, and perhaps a line break and letters and a mark again: parts the vocabulary's pattern always splits.
-PARTS = re.compile(rf"( ?{LETTERS})([.,;:!?]?)(?:(\n)({LETTERS})([.,;:!?]?))?")
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -42,8 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._words: dict[str, bytes] = {}  # parts that the library has encoded
-        self._known: dict[str, bytes] = {}  # pieces made of parts
+        self._known: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -54,29 +51,26 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text; null counts as empty."""
-        if len(self._known) + len(self._words) > REMEMBERED:
-            self._known.clear(), self._words.clear()
+        if len(self._known) > REMEMBERED:
+            self._known.clear()
+        known = self._known
         cut = [_pieces(text) if text else [] for text in texts]
-        new = {p: _parts(p) for p in set().union(*cut).difference(self._known)}
-        words = list(set().union(*new.values()).difference(self._words))
-        for word, ids in zip(words, self._library.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self._words[word] = np.array(ids.ids, dtype="<u4").tobytes()
-        for piece, parts in new.items():
-            self._known[piece] = b"".join([self._words[p] for p in parts])
-        out = [b"".join(map(self._known.__getitem__, pieces)) for pieces in cut]
-        for memory in (self._known, self._words):
-            for piece in [p for p in (*new, *words) if len(p) > LONGEST]:
-                memory.pop(piece, None)
+        new = list(set().union(*cut).difference(known))
+        for piece, ids in zip(new, self._library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[piece] = _packed(ids.ids)
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for piece in [p for p in new if len(p) > LONGEST]:
+            del known[piece]
         return out
 
 
+def _packed(ids: list[int]) -> bytes:
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
+
 def _pieces(text: str) -> list[str]:
     first, *rest = CUT.split(text) if any(run in text for run in RUNS) else text.split(" ")
     return [first, *[" " + piece for piece in rest]]
-
-
-def _parts(piece: str) -> list[str]:
-    if not piece:
-        return []
-    found = PARTS.fullmatch(piece)
-    return [p for p in found.groups() if p] if found else [piece]
