@@ -47,7 +47,8 @@ def high_risk_zone(spark, sf_dir):
 
 
 def decision_edges(spark, sf_dir):
-    return decision.weighted_edges(scored(spark, sf_dir))
+    edges = decision.weighted_edges(scored(spark, sf_dir))
+    return decision.edges_with_nodes(edges, decision.nodes(edges))
 
 
 def decision_flow(spark, sf_dir):
@@ -101,9 +102,6 @@ SELECT {by}, bin, ROUND(ANY_VALUE(lo + bin * w), {digits}) AS lo,
   ROUND(ANY_VALUE(lo + (bin + 1) * w), {digits}) AS hi, COUNT(*) AS n FROM b GROUP BY 1, 2"""
 
 
-def _values(rows) -> str:
-    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
-
 
 ORACLES = {
     "bmi_histogram": _histogram_sql("bmi", "predicted_diabetes", "scored", 6),
@@ -125,12 +123,13 @@ ends AS (
   SELECT 'patient' AS sf, 'all' AS sb, factor AS tf, band AS tb FROM long
   UNION ALL SELECT factor, band, 'level', risk_level FROM long
 ), flow AS (SELECT sf, sb, tf, tb, COUNT(*) AS n FROM ends GROUP BY ALL),
-nodes(id, label, factor, band, x, y) AS (VALUES {_values(decision.NODES)}),
-edges(source, target) AS (VALUES {_values(decision.EDGES)})
-SELECT source, target, s.label AS source_label, t.label AS target_label, CAST(s.x AS DOUBLE) AS x0,
-  CAST(s.y AS DOUBLE) AS y0, CAST(t.x AS DOUBLE) AS x1, CAST(t.y AS DOUBLE) AS y1, COALESCE(f.n, 0) AS n
-FROM edges JOIN nodes s ON s.id = source JOIN nodes t ON t.id = target
-LEFT JOIN flow f ON f.sf = s.factor AND f.sb = s.band AND f.tf = t.factor AND f.tb = t.band""",
+nodes AS (
+  SELECT tf AS f, tb AS b, COUNT(*) AS n FROM ends GROUP BY ALL
+  UNION ALL SELECT sf, sb, COUNT(*) FROM ends WHERE sf = 'patient' GROUP BY ALL
+)
+SELECT sf AS source_factor, sb AS source_band, tf AS target_factor, tb AS target_band, flow.n AS n,
+  s.n AS source_n, t.n AS target_n
+FROM flow JOIN nodes s ON s.f = sf AND s.b = sb JOIN nodes t ON t.f = tf AND t.b = tb""",
     "decision_flow": f"""{SCORED}
 SELECT factor, band, risk_level, COUNT(*) AS n FROM ({factor_union('risk_level', 'scored')}) GROUP BY 1, 2, 3""",
 }

@@ -1,118 +1,48 @@
-"""The decision diagram: fixed nodes and edges, with the observations that flow along them."""
+"""The decision diagram: nodes from the rules, edges with the observations that flow along them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.dims import local_table
+from riskloom.functions.rules import RISK_FACTORS
 from riskloom.operators.profile import decision_flow
 
-NODE_SCHEMA = "id int, label string, factor string, band string, x double, y double"
-# 22 nodes with the factor and band (or the level) they stand for and their place.
-NODES = (
-    (0, "Patient", "patient", "all", 0.0, 0.0),
-    (1, "BMI 30+", "bmi", "30+", -3.0, -1.0),
-    (2, "BMI 25-29.9", "bmi", "25-30", -1.0, -1.0),
-    (3, "BMI 23-24.9", "bmi", "23-25", 1.0, -1.0),
-    (4, "BMI < 23", "bmi", "<23", 3.0, -1.0),
-    (5, "Glucose 180+", "glucose", "180+", -3.5, -2.0),
-    (6, "Glucose 140-179", "glucose", "140-180", -2.0, -2.0),
-    (7, "Glucose 100-139", "glucose", "100-140", 0.0, -2.0),
-    (8, "Glucose < 100", "glucose", "<100", 2.0, -2.0),
-    (9, "HbA1c 6.5+", "hba1c", "6.5+", -3.0, -3.0),
-    (10, "HbA1c 5.7-6.4", "hba1c", "5.7-6.5", -1.0, -3.0),
-    (11, "HbA1c < 5.7", "hba1c", "<5.7", 1.0, -3.0),
-    (12, "Age 65+", "age", "65+", -2.0, -4.0),
-    (13, "Age 45-64", "age", "45-65", 0.0, -4.0),
-    (14, "Age < 45", "age", "<45", 2.0, -4.0),
-    (15, "Hypertension", "hypertension", "yes", -2.0, -5.0),
-    (16, "Heart disease", "heart_disease", "yes", 0.0, -5.0),
-    (17, "Smoking", "smoking", "yes", 2.0, -5.0),
-    (18, "High risk, score 10+", "level", "high", -3.0, -6.5),
-    (19, "Moderate risk, score 6-9", "level", "moderate", -1.0, -6.5),
-    (20, "Low risk, score 3-5", "level", "low", 1.0, -6.5),
-    (21, "Very low risk, score 0-2", "level", "very_low", 3.0, -6.5),
-)
-# Targets of each node, 44 edges.
-TARGETS = {
-    0: (1, 2, 3, 4),
-    1: (18, 19, 20, 21),
-    2: (18, 19, 20, 21),
-    3: (19, 20, 21),
-    4: (19, 20, 21),
-    5: (18, 19),
-    6: (18, 19),
-    7: (19, 20),
-    8: (20, 21),
-    9: (18, 19),
-    10: (19, 20),
-    11: (20, 21),
-    12: (19, 20),
-    13: (20, 21),
-    14: (20, 21),
-    15: (19, 20),
-    16: (19, 20),
-    17: (20, 21),
-}
-EDGES = tuple((source, target) for source, targets in TARGETS.items() for target in targets)
+ROOT, LEVEL = "patient", "level"
 
 
-def nodes(spark: SparkSession) -> DataFrame:
-    return local_table(spark, NODE_SCHEMA, NODES)
+def weighted_edges(df: DataFrame, factors=RISK_FACTORS) -> DataFrame:
+    """(source_factor, source_band, target_factor, target_band, n): all flows there are.
 
-
-def edges(spark: SparkSession) -> DataFrame:
-    return local_table(spark, "source int, target int", EDGES)
-
-
-def edges_with_nodes(edge_table: DataFrame, node_table: DataFrame) -> DataFrame:
-    """Every edge with the attributes of both its ends."""
-    s, t = node_table.alias("s"), node_table.alias("t")
+    Every observation flows from the root to its band of each factor, and from there to its risk level, so both
+    halves sum to the observations times the factors. Bands of missing values are nodes like the others.
+    """
+    into = F.struct(F.lit(ROOT).alias("sf"), F.lit("all").alias("sb"), F.col("factor").alias("tf"), F.col("band").alias("tb"))
+    out = F.struct(F.col("factor").alias("sf"), F.col("band").alias("sb"), F.lit(LEVEL).alias("tf"), F.col("risk_level").alias("tb"))
     return (
-        edge_table.join(s, F.col("source") == F.col("s.id"))
-        .join(t, F.col("target") == F.col("t.id"))
-        .select(
-            "source",
-            "target",
-            F.col("s.label").alias("source_label"),
-            F.col("t.label").alias("target_label"),
-            F.col("s.x").alias("x0"),
-            F.col("s.y").alias("y0"),
-            F.col("t.x").alias("x1"),
-            F.col("t.y").alias("y1"),
-            F.col("s.factor").alias("source_factor"),
-            F.col("s.band").alias("source_band"),
-            F.col("t.factor").alias("target_factor"),
-            F.col("t.band").alias("target_band"),
+        decision_flow(df, factors)
+        .select(F.inline(F.array(into, out)), "n")
+        .groupBy(
+            F.col("sf").alias("source_factor"),
+            F.col("sb").alias("source_band"),
+            F.col("tf").alias("target_factor"),
+            F.col("tb").alias("target_band"),
         )
+        .agg(F.sum("n").alias("n"))
     )
 
 
-def weighted_edges(df: DataFrame) -> DataFrame:
-    """Diagram edges with `n`, the observations of `df` that belong to both ends."""
-    spark = df.sparkSession
-    flow = decision_flow(df)
-    # Edges out of the root end in a band and take all its levels; the others end in a level.
-    ends = F.array(
-        F.struct(F.lit("patient").alias("f"), F.lit("all").alias("b"), F.col("factor").alias("tf"), F.col("band").alias("tb")),
-        F.struct(F.col("factor").alias("f"), F.col("band").alias("b"), F.lit("level").alias("tf"), F.col("risk_level").alias("tb")),
-    )
-    counts = (
-        flow.select(F.inline(ends), "n")
-        .groupBy("f", "b", "tf", "tb")
-        .agg(F.sum("n").alias("n"))
-    )
-    drawn = edges_with_nodes(edges(spark), nodes(spark))
-    joined = drawn.join(
-        counts,
-        (F.col("source_factor") == F.col("f"))
-        & (F.col("source_band") == F.col("b"))
-        & (F.col("target_factor") == F.col("tf"))
-        & (F.col("target_band") == F.col("tb")),
-        "left",
-    )
-    return joined.select(
-        "source", "target", "source_label", "target_label", "x0", "y0", "x1", "y1",
-        F.coalesce("n", F.lit(0)).alias("n"),
+def nodes(edges: DataFrame) -> DataFrame:
+    """(factor, band, n) of every node of the diagram, n being what flows through it."""
+    inner = edges.groupBy(F.col("target_factor").alias("factor"), F.col("target_band").alias("band")).agg(F.sum("n").alias("n"))
+    root = edges.where(F.col("source_factor") == ROOT).select(
+        F.col("source_factor").alias("factor"), F.col("source_band").alias("band"), "n"
     )
+    return inner.unionByName(root.groupBy("factor", "band").agg(F.sum("n").alias("n")))
+
+
+def edges_with_nodes(edges: DataFrame, node_table: DataFrame) -> DataFrame:
+    """Every edge with what flows through both its ends."""
+    s = node_table.select(F.col("factor").alias("source_factor"), F.col("band").alias("source_band"), F.col("n").alias("source_n"))
+    t = node_table.select(F.col("factor").alias("target_factor"), F.col("band").alias("target_band"), F.col("n").alias("target_n"))
+    return edges.join(s, ["source_factor", "source_band"]).join(t, ["target_factor", "target_band"])

@@ -78,7 +78,7 @@ def _inputs(features: PipelineModel) -> list[str]:
 
 def area_under_roc(df: DataFrame, score: str, label: str = LABEL) -> float:
     """Chance that a positive row scores above a negative one, a tie counting half."""
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score).evaluate(df)
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=0).evaluate(df)
 
 
 def evaluate(predictions: DataFrame, model: str, label: str = LABEL) -> DataFrame:

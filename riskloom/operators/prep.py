@@ -48,19 +48,20 @@ def impute(
 ) -> DataFrame:
     """Fill the columns that miss values: categories with their mode, numbers with their mean.
 
-    Other columns keep their type and values, and so does a column without any value. The
-    statistics are one value per column.
+    Numeric columns become double whether or not a value is missing, so the type never depends on the data;
+    a column without any value stays empty. The statistics are one value per column.
     """
     stats = df.agg(
         *[count_if(is_missing(_field(df, c))).alias(f"missing_{c}") for c in (*categorical, *numeric)],
         *[F.avg(nan_to_null(F.col(c).cast("double"))).alias(f"mean_{c}") for c in numeric],
     ).first()
-    fill: dict[str, object] = {c: stats[f"mean_{c}"] for c in numeric if stats[f"missing_{c}"]}
+    fill: dict[str, object] = {c: stats[f"mean_{c}"] for c in numeric}
     gappy = [c for c in categorical if stats[f"missing_{c}"]]
     if gappy:
         fill.update((r["column"], r["value"]) for r in column_modes(df, gappy).collect())
     filled = {c: _fill(_field(df, c), value) for c, value in fill.items() if value is not None}
-    return df.withColumns(filled) if filled else df
+    empty = {c: F.col(c).cast("double") for c in numeric if fill[c] is None}
+    return df.withColumns({**filled, **empty}) if filled or empty else df
 
 
 def _field(df: DataFrame, name: str) -> T.StructField:

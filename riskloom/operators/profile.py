@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.bands import AGE_BANDS, BMI_BANDS, age_band, band_of
-from riskloom.functions.nulls import count_if, ratio, same
+from riskloom.functions.nulls import count_if, nan_to_null, ratio, same
 from riskloom.functions.rules import LEVEL_NAMES, RISK_FACTORS, UNKNOWN, band_label, factor_structs, risk_level, risk_score
 from riskloom.operators.dims import complete, members, small_or_same
 from riskloom.operators.metrics import ACTUAL, PREDICTED
@@ -137,8 +137,8 @@ def stacked_positions(df: DataFrame, row: str, column: str, levels: Sequence[str
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: str) -> DataFrame:
-    """Equal-width bins over the whole range, the last one closed: (by, bin, lo, hi, n)."""
-    value = F.col(column).cast("double")
+    """Equal-width bins over the whole range, the last one closed: (by, bin, lo, hi, n). NaN counts as missing."""
+    value = nan_to_null(F.col(column).cast("double"))
     low, high = df.agg(F.min(value), F.max(value)).first()
     width = ((high - low) / bins if low is not None else 0.0) or 1.0
     index = F.least(F.floor((value - F.lit(low).cast("double")) / width), F.lit(bins - 1)).cast("int")

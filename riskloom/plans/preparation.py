@@ -58,7 +58,10 @@ def prepare(
     """
     staging = run_dir(spark, "staging")
     write_parquet(normalize_nulls(read_csv(spark, csv_path, schema)), staging)
-    raw = ensure_columns(spark.read.parquet(staging), REQUIRED_DEFAULTS)
+    raw = spark.read.parquet(staging)
+    if LABEL.lower() not in [c.lower() for c in raw.columns]:
+        raise ValueError(f"{csv_path} has no column {LABEL}, and labels are never made up")
+    raw = ensure_columns(raw, REQUIRED_DEFAULTS)
 
     write_parquet(clean(raw, exact), f"{out}/cleaned")
     cleaned = spark.read.parquet(f"{out}/cleaned")
@@ -66,7 +69,7 @@ def prepare(
     featured = model.transform(cleaned)
     write_parquet(featured.select("features", F.col(LABEL)), f"{out}/features")
     write_csv(featured.select(*FEATURES, LABEL), f"{out}/csv")
-    rows = verify_output(spark, f"{out}/features")
+    rows = verify_output(spark, f"{out}/features", expected=raw.count())
     return Prepared(
         rows=rows,
         missing=missing_counts(raw),

@@ -52,11 +52,13 @@ def write_batch_parquet(df: DataFrame, batch_id: int, root: str) -> str:
     return "parquet"
 
 
-def verify_output(spark: SparkSession, path: str, file_format: str = "parquet") -> int:
-    """Rows written at a path; an output without rows is an error."""
+def verify_output(spark: SparkSession, path: str, file_format: str = "parquet", expected: int | None = None) -> int:
+    """Rows written at a path; an output without rows, or with other than the expected number, is an error."""
     rows = spark.read.format(file_format).option("header", True).load(path).count()
     if rows == 0:
         raise ValueError(f"no rows at {path}")
+    if expected is not None and rows != expected:
+        raise ValueError(f"{rows} rows at {path}, expected {expected}")
     return rows
 
 

@@ -38,13 +38,17 @@ def _changes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact_counts(spark: SparkSession, root: str, keys: Sequence[str], target: str) -> None:
-    """Fold the changes of all batches into one folder under a new root, to go on from there.
+    """Fold the changes of all batches but the last into one folder under a new root, to go on from there.
 
-    The folder carries the last batch id, so a query restarted with the same checkpoint and
-    the new root adds to it.
+    The last batch keeps its own folder: if it is replayed after a failure it replaces only its own changes.
+    A query restarted with the same checkpoint and the new root adds to both.
     """
-    last = _changes(spark, root).agg(F.max("batch_id")).first()[0]
-    write_batch_parquet(latest_counts(spark, root, keys), last, target)
+    changes = _changes(spark, root)
+    last = changes.agg(F.max("batch_id")).first()[0]
+    earlier = changes.where(F.col("batch_id") < last)
+    if not earlier.isEmpty():
+        write_batch_parquet(earlier.groupBy(*keys).agg(F.max_by("n", "batch_id").alias("n")), last - 1, target)
+    write_batch_parquet(changes.where(F.col("batch_id") == last).drop("batch_id"), last, target)
 
 
 def latest_counts(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:

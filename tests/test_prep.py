@@ -30,7 +30,7 @@ def test_mean_fills_numbers_and_ignores_nan(spark):
     filled = prep.impute(frame, numeric=["v", "i", "full"])
     assert column(filled, "v") == [1.0, 3.0, 2.0, 2.0]
     assert column(filled, "i") == [1.0, 2.0, 2.0, 3.0]
-    assert dict(filled.dtypes)["full"] == "int"
+    assert dict(filled.dtypes)["full"] == "double"
 
 
 def test_column_without_values_stays(spark):

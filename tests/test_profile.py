@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.rules import LEVEL_NAMES
 from riskloom.operators import dims, profile
-from riskloom.operators.decision import EDGES, NODES, weighted_edges
+from riskloom.operators.decision import edges_with_nodes, nodes, weighted_edges
 from riskloom.plans.analytics import enriched, summaries
 
 
@@ -181,7 +181,10 @@ def test_levels_added_by_union_and_looked_up(spark):
 
 
 def test_diagram(spark):
-    assert len(NODES) == 22 and len(EDGES) == 44
-    rows = weighted_edges(profile.with_risk(scored(spark, {}, {"bmi": 22.0}))).collect()
-    flow = {(r["source"], r["target"]): r["n"] for r in rows}
-    assert len(flow) == 44 and flow[0, 2] == 1 and flow[0, 4] == 1 and flow[9, 18] == 1 and flow[0, 1] == 0
+    frame = profile.with_risk(scored(spark, {}, {"bmi": 22.0}, {"bmi": None}))
+    edges = weighted_edges(frame)
+    flow = {tuple(r)[:4]: r["n"] for r in edges.collect()}
+    halves = [sum(n for k, n in flow.items() if (k[0] == "patient") == first) for first in (True, False)]
+    assert halves == [21, 21] and flow["patient", "all", "bmi", "<23"] == 1
+    joined = edges_with_nodes(edges, nodes(edges)).collect()
+    assert len(joined) == len(flow) and {r["source_n"] for r in joined if r["source_factor"] == "patient"} == {21}

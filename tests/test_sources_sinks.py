@@ -2,6 +2,8 @@ import datetime as dt
 from unittest.mock import MagicMock
 
 import pytest
+
+from riskloom.sources.files import read_csv
 from helpers import events, scored
 from pyspark.errors import AnalysisException
 
@@ -192,3 +194,11 @@ def test_kafka_readers_ask_for_the_connector(spark):
     for read in (kafka.read_kafka, kafka.read_kafka_batch):
         with pytest.raises(AnalysisException, match="kafka"):
             read(spark, "h:9092", "t")
+
+
+def test_csv_columns_go_by_name_and_whole_numbers_stay(spark, path):
+    with open(f"{path}/a.csv", "w") as file:
+        file.write("b,a,label\n1.0,x,1.0\n2.5,y,0\n")
+    rows = read_csv(spark, f"{path}/a.csv", "a string, b int, label int, absent double")
+    assert rows.columns == ["a", "b", "label"]
+    assert [tuple(r) for r in rows.collect()] == [("x", 1, 1), ("y", None, 0)]

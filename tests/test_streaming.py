@@ -162,3 +162,11 @@ def test_interval_trigger(spark, path):
         assert spark.read.parquet(f"{path}/out").count() == 3
     finally:
         query.stop()
+
+
+def test_replay_after_compaction_keeps_the_counts(spark, path):
+    for batch, rows in enumerate(([("a", 1)], [("a", 5)], [("b", 9)])):
+        write_batch_parquet(spark.createDataFrame(rows, "k string, n long"), batch, f"{path}/all")
+    counts.compact_counts(spark, f"{path}/all", ["k"], f"{path}/less")
+    write_batch_parquet(spark.createDataFrame([("b", 9)], "k string, n long"), 2, f"{path}/less")
+    assert sorted(map(tuple, counts.latest_counts(spark, f"{path}/less", ["k"]).collect())) == [("a", 5), ("b", 9)]
