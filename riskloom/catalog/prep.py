@@ -54,7 +54,7 @@ def iqr_clip(spark, sf_dir):
 
 def price_clip(spark, sf_dir):
     clipped = prep.iqr_clip(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], k=0.5, exact=True)
-    return clipped.groupBy("l_orderkey").agg(F.round(F.max("l_extendedprice"), 6).alias("top_price"))
+    return clipped.select("l_orderkey", "l_linenumber", F.round("l_extendedprice", 6).alias("price"))
 
 
 def string_index(spark, sf_dir):
@@ -75,7 +75,9 @@ def feature_vector(spark, sf_dir):
 
 
 def split_counts(spark, sf_dir):
-    parts = features.tagged_split(observations(spark, sf_dir), F.col("obs_id") % 5 < 4)
+    """Sizes of the split that training uses."""
+    train, test = features.hash_split(observations(spark, sf_dir), "obs_id")
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return parts.groupBy("part").agg(F.count("*").alias("n"), F.sum("diabetes").alias("positives"))
 
 
@@ -194,8 +196,8 @@ SELECT obs_id, ROUND(COALESCE(bmi, (SELECT AVG(bmi) FROM obs)), 6) AS bmi FROM o
 SELECT obs_id, {", ".join(_clip(c) for c in _CLIPPED)} FROM obs, b""",
     "price_clip": """WITH q AS (
   SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)
-SELECT l_orderkey, ROUND(MAX(LEAST(GREATEST(l_extendedprice, q1 - 0.5 * (q3 - q1)), q3 + 0.5 * (q3 - q1))), 6)
-  AS top_price FROM lineitem, q GROUP BY 1""",
+SELECT l_orderkey, l_linenumber,
+  ROUND(LEAST(GREATEST(l_extendedprice, q1 - 0.5 * (q3 - q1)), q3 + 0.5 * (q3 - q1)), 6) AS price FROM lineitem, q""",
     "string_index": f"""{OBS}, {_codes("gender")}, {_codes("smoking_history")}
 SELECT obs_id, CAST({_code_of("gender")} AS DOUBLE) AS gender_indexed,
   CAST({_code_of("smoking_history")} AS DOUBLE) AS smoking_history_indexed FROM obs t""",
@@ -210,8 +212,8 @@ SELECT c_custkey, CAST({_code_of("c_mktsegment")} AS DOUBLE) AS c_mktsegment_ind
         ]
     ),
     "split_counts": f"""{OBS}
-SELECT CASE WHEN obs_id % 5 < 4 THEN 'train' ELSE 'test' END AS part, COUNT(*) AS n,
-  CAST(SUM(diabetes) AS BIGINT) AS positives FROM obs GROUP BY 1""",
+SELECT CASE WHEN ('0x' || substr(md5(obs_id || '|42'), 1, 8))::UBIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS part,
+  COUNT(*) AS n, CAST(SUM(diabetes) AS BIGINT) AS positives FROM obs GROUP BY 1""",
     "ensure_columns": """SELECT event_id, 'Female' AS gender, 'never' AS smoking_history, 0 AS hypertension FROM events""",
     "attach_by_position": """WITH l AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS p FROM events),
 r AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderkey) AS p FROM orders)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from riskloom.catalog.observations import LEVELS_SQL, SCORED, predictions, scored
-from riskloom.functions.rules import LEVEL_NAMES
+from riskloom.functions.rules import LEVEL_NAMES, max_score
 from riskloom.operators import dims, profile
 from riskloom.operators.metrics import with_match
 from riskloom.schema import SCORED_COLUMNS
@@ -49,43 +49,48 @@ def correlation_matrix(spark, sf_dir):
 
 
 def gender_risk_share(spark, sf_dir):
-    shares = profile.crosstab_share(scored(spark, sf_dir), "gender", "risk_level", LEVEL_NAMES)
+    shares = profile.crosstab_share(scored(spark, sf_dir), "gender", "risk_level")
     return shares.withColumn("pct", F.round("pct", 6))
 
 
 def age_risk_share(spark, sf_dir):
     rows = scored(spark, sf_dir).withColumn("age_band", profile.age_band(F.col("age")))
-    return profile.crosstab_share(rows, "age_band", "risk_level", LEVEL_NAMES).withColumn("pct", F.round("pct", 6))
+    return profile.crosstab_share(rows, "age_band", "risk_level").withColumn("pct", F.round("pct", 6))
 
 
 def order_status_share(spark, sf_dir):
     """The same cross-tabulation on a native pair of columns."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    shares = profile.crosstab_share(orders, "o_orderpriority", "o_orderstatus", ("F", "O", "P"))
+    shares = profile.crosstab_share(orders, "o_orderpriority", "o_orderstatus")
     return shares.withColumn("pct", F.round("pct", 6))
 
 
 def stacked_positions(spark, sf_dir):
-    found = profile.stacked_positions(scored(spark, sf_dir), "gender", "risk_level", LEVEL_NAMES)
+    found = profile.stacked_positions(scored(spark, sf_dir), "gender", "risk_level")
     return found.select("gender", "risk_level", *[F.round(c, 6).alias(c) for c in ("pct", "label_y")])
 
 
-def _common(spark, sf_dir):
-    """Counts of the levels that hold at least a fifth of the rows; the others are lacking."""
-    return profile.level_distribution(scored(spark, sf_dir)).where("pct >= 20").select("risk_level", "n")
+def _scores(spark):
+    """Every score that the rules can give."""
+    return dims.local_table(spark, "risk_score int", [(s,) for s in range(max_score() + 1)])
+
+
+def _score_counts(spark, sf_dir):
+    rows = scored(spark, sf_dir).select(F.col("risk_score").cast("int"))
+    return rows.groupBy("risk_score").agg(F.count("*").alias("n"))
 
 
 def missing_levels(spark, sf_dir):
-    dim = dims.members(spark, "risk_level", LEVEL_NAMES)
-    return dims.add_absent(_common(spark, sf_dir), dim, "risk_level", {"n": 0})
+    return dims.add_absent(_score_counts(spark, sf_dir), _scores(spark), "risk_score", {"n": 0})
 
 
 def unseen_levels(spark, sf_dir):
-    return dims.absent(_common(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
+    return dims.absent(_score_counts(spark, sf_dir), _scores(spark), "risk_score")
 
 
 def level_order(spark, sf_dir):
-    return dims.with_order(_common(spark, sf_dir), dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
+    counts = scored(spark, sf_dir).groupBy("risk_level").agg(F.count("*").alias("n"))
+    return dims.with_order(counts, dims.members(spark, "risk_level", LEVEL_NAMES, "severity"), "risk_level")
 
 
 def risk_radar(spark, sf_dir):
@@ -149,8 +154,7 @@ LEFT JOIN {source} s ON s.{row} = r.{row} AND s.{column} = c.{column} GROUP BY 1
 
 
 _PAIRS = ("age", "bmi", "blood_glucose_level", "hba1c_level", "risk_score", "predicted_diabetes")
-_COMMON = """c AS (SELECT risk_level, COUNT(*) AS n FROM scored GROUP BY 1
-  HAVING round_even(COUNT(*) * CAST(100 AS DOUBLE) / (SELECT COUNT(*) FROM scored), 1) >= 20)"""
+_ALL_SCORES = "(SELECT CAST(unnest(range(0, 19)) AS INTEGER) AS risk_score) r"
 _RADAR = ("bmi", "blood_glucose_level", "hba1c_level", "age")
 
 ORACLES = {
@@ -192,12 +196,13 @@ FROM ({_share_sql('o_orderpriority', 'o_orderstatus', 'orders')})""",
   SELECT gender, risk_level, pct, COALESCE(SUM(pct) OVER (PARTITION BY gender ORDER BY risk_level
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + pct / 2 AS label_y FROM p)
 SELECT gender, risk_level, ROUND(pct, 6) AS pct, ROUND(label_y, 6) AS label_y FROM y WHERE pct >= 5""",
-    "missing_levels": f"""{SCORED}, {_COMMON}
-SELECT lv.risk_level, COALESCE(c.n, 0) AS n FROM {LEVELS_SQL} LEFT JOIN c USING (risk_level)""",
-    "unseen_levels": f"""{SCORED}, {_COMMON}
-SELECT risk_level, severity FROM {LEVELS_SQL} WHERE risk_level NOT IN (SELECT risk_level FROM c)""",
-    "level_order": f"""{SCORED}, {_COMMON}
-SELECT c.risk_level, c.n, lv.severity FROM c JOIN {LEVELS_SQL} ON c.risk_level = lv.risk_level""",
+    "missing_levels": f"""{SCORED}
+SELECT r.risk_score, COUNT(s.risk_score) AS n FROM {_ALL_SCORES} LEFT JOIN scored s USING (risk_score) GROUP BY 1""",
+    "unseen_levels": f"""{SCORED}
+SELECT risk_score FROM {_ALL_SCORES} WHERE risk_score NOT IN (SELECT risk_score FROM scored)""",
+    "level_order": f"""{SCORED}
+SELECT s.risk_level, COUNT(*) AS n, lv.severity FROM scored s JOIN {LEVELS_SQL} ON s.risk_level = lv.risk_level
+GROUP BY 1, 3""",
     "risk_radar": f"{SCORED} "
     + " UNION ALL ".join(
         [

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-SMALL_ROWS = 10_000
-
-
 def local_table(spark: SparkSession, schema: str | T.StructType, rows: Sequence[Sequence]) -> DataFrame:
     """A literal table; its size is known to the planner, which broadcasts it by itself."""
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -20,15 +17,6 @@ def local_table(spark: SparkSession, schema: str | T.StructType, rows: Sequence[
     return spark.createDataFrame(pa.table(columns, struct.names), struct)
 
 
-def small_or_same(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The same rows as a literal table when a check finds at most `max_rows`, else `df` itself.
-
-    A literal table is computed once and broadcast; a larger one is joined as Spark sees fit.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return df if len(rows) > max_rows else local_table(df.sparkSession, df.schema, rows)
-
-
 def members(spark: SparkSession, column: str, values: Sequence[str], rank: str = "rank") -> DataFrame:
     """Dimension of ordered members: (column, rank)."""
     return local_table(spark, f"{column} string, {rank} int", [(v, i) for i, v in enumerate(values)])

@@ -70,11 +70,10 @@ def feature_slots(df: DataFrame, keys: Sequence[str], vector: str = "features")
 def hash_split(
     df: DataFrame, key: str, train_percent: int = 80, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and holdout rows by a hash of the key, the same however the rows are partitioned."""
-    slot = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
-    return df.where(slot < train_percent), df.where(slot >= train_percent)
-
+    """Train and holdout rows by a hash of the key, the same however the rows are partitioned.
 
-def tagged_split(df: DataFrame, in_train) -> DataFrame:
-    """Add `part` (train or test) by a given condition."""
-    return df.withColumn("part", F.when(in_train, "train").otherwise("test"))
+    The slot is the first 32 bits of the MD5 of `key|seed` modulo 100, which other engines compute alike.
+    """
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
+    return df.where(slot < train_percent), df.where(slot >= train_percent)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.bands import AGE_BANDS, BMI_BANDS, age_band, band_of
 from riskloom.functions.nulls import count_if, nan_to_null, ratio, same
 from riskloom.functions.rules import LEVEL_NAMES, RISK_FACTORS, UNKNOWN, band_label, factor_structs, risk_level, risk_score
-from riskloom.operators.dims import complete, members, small_or_same
+from riskloom.operators.dims import complete, members
 from riskloom.operators.metrics import ACTUAL, PREDICTED
 from riskloom.operators.prep import with_position_share
 from riskloom.operators.ranges import exact_quantiles
@@ -122,17 +122,24 @@ def share_of(df: DataFrame, by: str, value: str = "n", out: str = "pct") -> Data
     return df.withColumn(out, ratio(F.col(value), F.sum(value).over(Window.partitionBy(by))) * 100.0)
 
 
-def crosstab_share(df: DataFrame, row: str, column: str, levels: Sequence[str]) -> DataFrame:
-    """Long cross-tabulation (row, column, n, pct of the row); levels never seen are left out."""
-    wide = df.where(F.col(row).isNotNull()).groupBy(row).pivot(column, list(levels)).count()
-    cells = wide.fillna(0, subset=list(levels)).unpivot([row], list(levels), column, "n")
-    seen = F.sum("n").over(Window.partitionBy(column))
-    return share_of(cells.withColumn("_seen", seen).where(F.col("_seen") > 0).drop("_seen"), row)
+def crosstab_share(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Long cross-tabulation (row, column, n, pct of the row) of all values there are, zero cells included.
+
+    A NULL column value is a value like the others; rows without a `row` value are left out.
+    """
+    counts = df.where(F.col(row).isNotNull()).groupBy(row, column).agg(F.count("*").alias("n"))
+    seen = _over_all(F.collect_set(F.struct(column)))
+    per_row = counts.withColumn("_seen", seen).groupBy(row).agg(
+        F.collect_list(F.struct(column, "n")).alias("_own"), F.first("_seen").alias("_seen")
+    )
+    zeros = F.transform("_seen", lambda v: F.struct(v[column].alias(column), F.lit(0).cast("long").alias("n")))
+    cells = per_row.select(row, F.inline(F.concat("_own", zeros)))
+    return share_of(cells.groupBy(row, column).agg(F.sum("n").alias("n")), row)
 
 
-def stacked_positions(df: DataFrame, row: str, column: str, levels: Sequence[str], floor: float = 5.0) -> DataFrame:
+def stacked_positions(df: DataFrame, row: str, column: str, floor: float = 5.0) -> DataFrame:
     """Label position of each stacked segment with a share of at least `floor` percent."""
-    shares = with_position_share(crosstab_share(df, row, column, levels), "pct", row, column, "label_y")
+    shares = with_position_share(crosstab_share(df, row, column), "pct", row, column, "label_y")
     return shares.where(F.col("pct") >= floor).select(row, column, "pct", "label_y")
 
 
@@ -178,7 +185,6 @@ def box_stats(df: DataFrame, column: str, by: str, exact: bool = True, accuracy:
         quartiles = rows.groupBy(by).agg(found.alias("q")).select(
             by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
         )
-    quartiles = small_or_same(quartiles)
     joined = rows.alias("l").join(quartiles.alias("r"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}")))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col("value")

@@ -16,17 +16,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.dims import small_or_same
-
 ROWS_PER_BUCKET = 1_000_000
-ONE_BUCKET_ROWS = 100_000
 MIN_BUCKETS, MAX_BUCKETS = 64, 20_000
 SAMPLES_PER_BUCKET = 200
 
 
 def bucket_count(rows: int) -> int:
-    if rows <= ONE_BUCKET_ROWS:
-        return 1
     return min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
 
 
@@ -37,11 +32,9 @@ def in_buckets(df: DataFrame, column: str, rows: int, out: str) -> DataFrame:
     the result, and are fixed before any row is placed, so recomputed tasks agree.
     """
     buckets = bucket_count(rows)
-    inner: list[float] = []
-    if buckets > 1:
-        sample = df.sample(fraction=min(1.0, buckets * SAMPLES_PER_BUCKET / rows), seed=42)
-        shares = [i / buckets for i in range(1, buckets)]
-        inner = sorted(set(sample.select(column).approxQuantile(column, shares, 1.0 / (4 * buckets))))
+    sample = df.sample(fraction=min(1.0, buckets * SAMPLES_PER_BUCKET / max(rows, 1)), seed=42)
+    shares = [i / buckets for i in range(1, buckets)]
+    inner = sorted(set(sample.select(column).approxQuantile(column, shares, 1.0 / (4 * buckets))))
     if not inner:
         return df.withColumn(out, F.lit(0))
     splits = [float("-inf"), *inner, float("inf")]
@@ -59,8 +52,6 @@ def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
     if rows != with_key:
         raise ValueError(f"{key} has NULLs, so it does not order the rows")
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
-    if bucket_count(rows) == 1:
-        return keyed.withColumn("_bucket", F.lit(0)).withColumn(out, within.cast("long")).drop("_key", "_bucket")
     bucketed = in_buckets(keyed, "_key", rows, "_bucket")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket, at most MAX_BUCKETS.
@@ -70,7 +61,7 @@ def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
         .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
+        bucketed.join(offsets, "_bucket")
         .withColumn(out, F.col("_offset") + within)
         .drop("_key", "_bucket", "_offset")
     )
@@ -91,7 +82,7 @@ def exact_quantiles(
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
     )
     rows = df.count() * len(columns)
-    hits = _small_hits(values, group, shares) if bucket_count(rows) == 1 else _hits(values, group, shares, rows)
+    hits = _hits(values, group, shares, rows)
     weight = _position() - F.floor(_position())
     return (
         hits.groupBy(*group, "share", "total")
@@ -100,19 +91,6 @@ def exact_quantiles(
     )
 
 
-def _small_hits(values: DataFrame, group: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Values at the wanted ranks of a table that is small enough to order each group at once."""
-    whole = Window.partitionBy(*group)
-    counted = (
-        values.groupBy(*group, "value")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("total", F.sum("copies").over(whole))
-        .withColumn("last", F.sum("copies").over(whole.orderBy("value")))
-        .withColumn("first", F.col("last") - F.col("copies"))
-    )
-    return _at_ranks(counted, shares)
-
-
 def _hits(values: DataFrame, group: Sequence[str], shares: Sequence[float], rows: int) -> DataFrame:
     """Values at the wanted ranks, found bucket by bucket."""
     keys = [*group, "bucket"]
@@ -124,9 +102,7 @@ def _hits(values: DataFrame, group: Sequence[str], shares: Sequence[float], rows
         .withColumn("last", F.sum("size").over(whole.orderBy("bucket")))
         .withColumn("first", F.col("last") - F.col("size"))
     )
-    ranks = small_or_same(
-        _at_ranks(spans, shares).select(*keys, F.col("first").alias("offset"), "total", "share", "rank")
-    )
+    ranks = _at_ranks(spans, shares).select(*keys, F.col("first").alias("offset"), "total", "share", "rank")
     wanted = ranks.select(*keys, "offset").distinct()
     within = Window.partitionBy(*keys).orderBy("value")
     counted = (

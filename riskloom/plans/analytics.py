@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.bands import age_band
-from riskloom.functions.rules import LEVEL_NAMES
 from riskloom.operators import metrics, profile
 from riskloom.operators.decision import weighted_edges
 from riskloom.schema import normalize_nulls
@@ -37,8 +36,8 @@ def summaries(rows: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
         "correlations": profile.correlation_matrix(rows, CORRELATED),
         "hourly": profile.hourly(rows),
         "radar": profile.risk_radar(rows),
-        "gender_risk": profile.crosstab_share(rows, "gender", "risk_level", LEVEL_NAMES),
-        "age_risk": profile.crosstab_share(rows, "age_group", "risk_level", LEVEL_NAMES),
+        "gender_risk": profile.crosstab_share(rows, "gender", "risk_level"),
+        "age_risk": profile.crosstab_share(rows, "age_group", "risk_level"),
         "high_risk": profile.high_risk_profile(rows),
         "most_at_risk": profile.most_at_risk(rows),
         "age_decade": profile.age_decade_mode(rows),

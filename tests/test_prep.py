@@ -67,9 +67,9 @@ def brute(values, share):
     return values[low] + (values[high] - values[low]) * (position - low)
 
 
-@pytest.mark.parametrize("one_bucket_rows", [10, 10**6])
-def test_exact_quantiles_by_group_with_a_hot_value(spark, monkeypatch, one_bucket_rows):
-    monkeypatch.setattr(ranges, "ONE_BUCKET_ROWS", one_bucket_rows)
+@pytest.mark.parametrize("rows_per_bucket", [10, 10**6])
+def test_exact_quantiles_by_group_with_a_hot_value(spark, monkeypatch, rows_per_bucket):
+    monkeypatch.setattr(ranges, "ROWS_PER_BUCKET", rows_per_bucket)
     rng = random.Random(1)
     rows = []
     for i in range(3000):
@@ -87,16 +87,15 @@ def test_exact_quantiles_by_group_with_a_hot_value(spark, monkeypatch, one_bucke
 
 
 def test_exact_quantiles_when_ranks_are_not_small(spark, monkeypatch):
-    monkeypatch.setattr(ranges, "small_or_same", lambda df: df)
-    monkeypatch.setattr(ranges, "ONE_BUCKET_ROWS", 10)
+    monkeypatch.setattr(ranges, "ROWS_PER_BUCKET", 10)
     frame = spark.range(1001).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
     found = {r["g"]: r["value"] for r in ranges.exact_quantiles(frame, ["v"], [0.5], ["g"]).collect()}
     assert found == {0: 500.0, 1: 500.0}
 
 
-@pytest.mark.parametrize("one_bucket_rows", [10, 10**6])
-def test_row_numbers_follow_the_key(spark, monkeypatch, one_bucket_rows):
-    monkeypatch.setattr(ranges, "ONE_BUCKET_ROWS", one_bucket_rows)
+@pytest.mark.parametrize("rows_per_bucket", [10, 10**6])
+def test_row_numbers_follow_the_key(spark, monkeypatch, rows_per_bucket):
+    monkeypatch.setattr(ranges, "ROWS_PER_BUCKET", rows_per_bucket)
     keys = random.Random(2).sample(range(10**6), 2000)
     frame = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
     numbered = {r["k"]: r["position"] for r in ranges.number_rows(frame, "k").collect()}
