@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.tokens import Encoder
+from riskloom.session import run_dir
 
 BATCH = 500
 ROW_GROUP = 1000  # documents between two index entries; at least 1000 by the format
@@ -86,7 +87,9 @@ def index(spark: SparkSession, folder: str) -> DataFrame:
 
     number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
     rows = read_ids(spark, folder).select("doc_id", "text_hash", "ids", number.alias("file"))
-    rows = rows.mapInArrow(run, "doc_id long, text_hash long, file long, n_tokens long, ids_crc32 long")
+    place = run_dir(spark, "token-index")  # two uses, but the files are decoded once
+    rows.mapInArrow(run, "doc_id long, text_hash long, file long, n_tokens long, ids_crc32 long").write.parquet(place)
+    rows = spark.read.parquet(place)
     before = Window.unboundedPreceding
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
     files = files.select(
