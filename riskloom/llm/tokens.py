@@ -3,6 +3,8 @@
 A byte-level vocabulary whose splitting pattern keeps a blank with the word after it never looks
 across a blank that follows a non-blank character. Texts are cut there; the library encodes each
 distinct piece once and its ids are remembered, which gives the ids of the whole text exactly.
+A piece of ASCII letters and the marks after them is one or two words of the vocabulary's splitting
+pattern for certain, so these go to the library's model at once and not through its splitting.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ CUT = re.compile(r"(?<=\S) ")
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
 WHITE += "".join(map(chr, range(0x2000, 0x200B)))
 RUNS = tuple(c + " " for c in WHITE)
+#: Letters with the blank before them, and marks, are words of their own.
+PLAIN = re.compile(r" ([A-Za-z]+)([.,;:!?]*)")
+LEAD = "\u0120"  # how byte-level vocabularies write a blank
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -41,6 +46,7 @@ class Encoder:
 
         self._library = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._model = self._library.model if _splits_by_bytes(self._library) else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -56,13 +62,37 @@ class Encoder:
         known = self._known
         cut = [_pieces(text) if text else [] for text in texts]
         new = list(set().union(*cut).difference(known))
-        for piece, ids in zip(new, self._library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        mixed = []
+        for piece in new:
+            plain = PLAIN.fullmatch(piece) if self._model else None
+            if plain:
+                known[piece] = self._plain(*plain.groups())
+            else:
+                mixed.append(piece)
+        for piece, ids in zip(mixed, self._library.encode_batch_fast(mixed, add_special_tokens=False), strict=True):
             known[piece] = _packed(ids.ids)
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
         for piece in [p for p in new if len(p) > LONGEST]:
             del known[piece]
         return out
 
+    def _plain(self, letters: str, marks: str) -> bytes:
+        """The ids of a blank, letters and marks."""
+        word = self._known.get(" " + letters) if marks else None
+        if word is None:
+            word = _packed([t.id for t in self._model.tokenize(LEAD + letters)])
+        return word + _packed([t.id for t in self._model.tokenize(marks)]) if marks else word
+
+
+def _splits_by_bytes(library) -> bool:
+    """Whether the library does nothing to plain pieces but split them byte-level and look them up."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    pre = library.pre_tokenizer
+    split = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    return split and library.normalizer is None and not any(re.fullmatch(r"[ A-Za-z.,;:!?]+", t) for t in added)
+
 
 def _packed(ids: list[int]) -> bytes:
     values = array("I", ids)

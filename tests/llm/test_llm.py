@@ -50,6 +50,7 @@ def ids_of(text):
 def test_encoder_equals_the_library():
     rng = random.Random(1)
     texts = ["", "a  b", " a\n b ", "don't 's", "a\n  b", "x" * 200 + " y", "a b c"]
+    texts += ["Well, well. Why?! yes... no;", "a Foo, Foo Foo. Foo.Bar, <|endoftext|> endoftext, été, it's", " don, don't ll, 'll, s."]
     texts += ["".join(rng.choice("ab .,\n\t'1é ") for _ in range(25)) for _ in range(300)]
     found = Encoder.of(tokenizer_path()).encode(texts)
     assert [f + bytes(4) for f in found] == [ids_of(t).tobytes() for t in texts]
