@@ -37,8 +37,14 @@ def publish(
     send: Callable[[DataFrame], None],
     schema: T.StructType | str | None = None,
     stamp: Column | None = None,
+    original: DataFrame | None = None,
+    order: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Read the first existing CSV of `paths`, encode its rows and hand the messages to `send`."""
-    messages = to_messages(message_rows(read_csv_or(spark, paths, schema)), key, stamp)
+    """Read the first existing CSV of `paths`, encode its rows and hand the messages to `send`.
+
+    With `original` and `order` the categories come from the original table, as in `message_rows`.
+    """
+    rows = message_rows(read_csv_or(spark, paths, schema), original, order)
+    messages = to_messages(rows, key, stamp)
     send(messages)
     return messages

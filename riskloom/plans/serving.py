@@ -18,6 +18,7 @@ from riskloom.streaming.scoring import start_scoring
 
 # What the sink gets besides the scored columns: the row's identity and its own time.
 KEPT = ("message_id", "event_time")
+PER_BATCH = 1_000_000
 
 
 def database_or_csv(options: dict[str, str], table: str, key: str, csv_root: str):
@@ -47,9 +48,13 @@ def serve(
     model_path: str | None = None,
     metrics_root: str | None = None,
     every: str = "3 seconds",
+    per_batch: int = PER_BATCH,
 ) -> StreamingQuery:
-    """Score a topic until stopped. The message key and offsets identify a row in the sink."""
-    source = read_kafka(spark, servers, topic).selectExpr(
+    """Score a topic until stopped. The message key and offsets identify a row in the sink.
+
+    A micro-batch takes at most `per_batch` messages; what is left waits for the next one.
+    """
+    source = read_kafka(spark, servers, topic, maxOffsetsPerTrigger=str(per_batch)).selectExpr(
         "concat_ws('-', topic, partition, offset) AS message_id", "value"
     )
     events = stamped(parse_messages(source, keep=("message_id",)))

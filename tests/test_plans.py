@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from riskloom.operators.models import forest, logistic, score
+from riskloom.plans import serving
 from riskloom.plans.analytics import enriched, summaries
 from riskloom.plans.preparation import prepare
 from riskloom.plans.publishing import message_rows, publish
@@ -137,6 +138,29 @@ def test_rule_classifier_reproduces_scored_batches(spark):
     assert given.count() > 0 and score(given).where("predicted_diabetes <> given").count() == 0
 
 
+def test_publish_takes_categories_from_the_original(spark, path):
+    spark.createDataFrame([(1, 20.0), (2, 30.0)], "id long, bmi double").write.csv(f"{path}/o", header=True)
+    rows = [(7, "Female", "never"), (9, "Male", "current")]
+    original = spark.createDataFrame(rows, "n long, gender string, smoking_history string")
+    sent = []
+    publish(spark, [f"{path}/o"], "id", sent.append, "id long, bmi double", F.lit(9), original, ("id", "n"))
+    found = {r["key"]: r["gender"] for r in parse_messages(sent[0], keep=("key",)).collect()}
+    assert found == {"1": "Female", "2": "Male"}
+
+
+def test_serve_bounds_its_batches(spark, monkeypatch):
+    seen = {}
+
+    def no_broker(spark, servers, topic, **options):
+        seen.update(options)
+        raise ConnectionError
+
+    monkeypatch.setattr(serving, "read_kafka", no_broker)
+    with pytest.raises(ConnectionError):
+        serving.serve(spark, "h:9092", "t", None, "c", per_batch=50)
+    assert seen == {"maxOffsetsPerTrigger": "50"}
+
+
 def test_publish_completes_and_encodes_rows(spark, path):
     spark.createDataFrame([(1, 30.5), (2, None)], "id long, bmi double").write.option("header", True).csv(f"{path}/p")
     sent = []
