@@ -70,7 +70,7 @@ def stream_batch_accuracy(spark, sf_dir):
 
 def _minutes(spark, sf_dir) -> DataFrame:
     out, checkpoint = run_dir(spark, "minutes"), run_dir(spark, "checkpoint")
-    minutes = counts.per_minute(event_stream(counting_session(spark), sf_dir), F.col("ts"))
+    minutes = counts.per_minute(event_stream(counting_session(spark), sf_dir), F.col("ts"), late=None)
     counts.start_counts(minutes, out, checkpoint).awaitTermination()
     return counts.latest_counts(spark, out, ["window_start"])
 

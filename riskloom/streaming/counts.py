@@ -12,10 +12,10 @@ from riskloom.sinks.files import write_batch_parquet
 from riskloom.streaming.scoring import start_query
 
 
-def per_minute(stream: DataFrame, time: Column, late: str | None = None, size: str = "1 minute") -> DataFrame:
+def per_minute(stream: DataFrame, time: Column, late: str | None, size: str = "1 minute") -> DataFrame:
     """(window_start, n) per tumbling minute.
 
-    Give `late` to a stream that never ends: a window that old is final and leaves the state.
+    A window older than `late` is final and leaves the state; None only for a stream that ends.
     """
     timed = stream.select(time.cast("timestamp").alias("time"))
     if late:

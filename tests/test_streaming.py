@@ -130,7 +130,7 @@ def test_counts_per_minute_over_restarts(spark, path):
     assert tuple(read_counter(spark, out).first()) == (0, 0)
     for first in (0, 4):
         send(spark, inbox, first, 4, files=2)
-        minutes = counts.per_minute(stream_of(spark, inbox), F.col("event_time"))
+        minutes = counts.per_minute(stream_of(spark, inbox), F.col("event_time"), late=None)
         counts.start_counts(minutes, out, checkpoint).awaitTermination()
         if first == 0:  # go on in a compacted folder
             counts.compact_counts(spark, out, ["window_start"], f"{path}/compact")
