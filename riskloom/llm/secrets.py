@@ -22,7 +22,8 @@ ASSIGN = r"""((?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["
 ACCESS = r"(AKIA[A-Z0-9]{16,})"
 HEX = r"([0-9a-f]{24,})"
 IDENTIFIER = r"""(?i)((?:client|account|access_?key|key)_?id["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9_.@-]{4,}|(?:user(?:name)?|login)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9_.@-]{3,})"""
-OPAQUE = r"((?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]{0,60}[0-9])(?=[A-Za-z0-9+/_-]{0,60}[A-Z])(?=[A-Za-z0-9+/_-]{0,60}[a-z])[A-Za-z0-9+/_-]{16,}={0,2})"
+# Digit, capital and small letter may stand anywhere in the match; a value may follow its "=" at once.
+OPAQUE = r"((?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{16,}={0,2})"
 ENDPOINT = r"((?i)(?:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x20\x09-\x0D\x22'<>]{4,})"
 #: Kind, pattern, role in linking; plain kinds first, in the order ties are listed.
 KINDS = (
