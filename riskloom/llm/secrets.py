@@ -2,9 +2,9 @@
 
 Plain kinds are reported wherever they stand. Weak parts (access identifiers, secret-like strings,
 endpoints) say little alone; they are reported only where complementary parts stand within a scope:
-an identifier and a secret with at most SCOPE characters between them, and an endpoint in reach of such a pair.
-The interval join goes along each text's parts in order, with the nearest part of the other role before and
-after, so it makes no pairs.
+an identifier and a secret that share no character, with at most SCOPE characters between them, and an endpoint
+in reach of such a pair. The interval join goes along the borders of each text's parts in order, with the
+nearest part of the other role that ended before or starts after, so it makes no pairs.
 
 Places are found by marking what a pattern matches and counting the characters between the marks. The
 mark is a private character; where a text has it already, another one of equal length stands in for it, which
@@ -97,24 +97,52 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
 
 def linked_spans(found: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
-    """(row, linked): the weak parts that complementary parts stand near, as an array of spans."""
+    """(row, linked): the weak parts that complementary parts stand near, as an array of spans.
+
+    An identifier and a secret are two parts only if they share no character, and an opaque value within an
+    identifier is that identifier's own. An endpoint counts if parts of such pairs, one of each role, stand near
+    it or in it.
+    """
     roles = F.array(*[F.lit(k[2]) for k in KINDS])
     parts = found.where("size(weak) > 0").select(row, F.explode(F.concat("plain", "weak")).alias("s"))
     parts = parts.select(row, "s", F.element_at(roles, F.col("s.rank") + 1).alias("role"))
-    order = Window.partitionBy(row).orderBy("s.start", "s.rank", "s.stop")
-    back = order.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
+
+    upto = Window.partitionBy(row).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    rank = {k[0]: n for n, k in enumerate(KINDS)}
+    named = F.max(F.when(F.col("s.rank") == rank["identifier"], F.col("s.stop"))).over(upto)
+    parts = parts.withColumn("own", (F.col("s.rank") == rank["opaque"]) & (F.coalesce(named, F.lit(0)) >= F.col("s.stop")))
+    parts = parts.where("NOT own").drop("own")
+
+    # Both borders of each part in order, ends first: what ended before a start, what starts after an end.
+    border = F.array(
+        F.struct(F.col("s.start").alias("at"), F.lit(True).alias("opens")),
+        F.struct(F.col("s.stop").alias("at"), F.lit(False).alias("opens")),
+    )
+    borders = parts.where("role <> 'endpoint'").withColumn("e", F.explode(border))
+    opens, at = F.col("e.opens"), F.col("e.at")
+    back = Window.partitionBy(row).orderBy("e").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(row).orderBy(F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
+
+    def apart(role: str) -> Column:
+        before = at - F.max(F.when(~opens & (F.col("role") == role), at)).over(back)
+        after = F.min(F.when(opens & (F.col("role") == role), at)).over(ahead) - at
+        return F.coalesce(F.when(opens, before).otherwise(after), F.lit(scope + 1)) <= scope
+
+    borders = borders.withColumn("by_id", apart("id")).withColumn("by_secret", apart("secret"))
+    paired = (F.col("role") == "id") & F.col("by_secret") | (F.col("role") == "secret") & F.col("by_id")
+    paired = borders.where(paired).select(row, "s", "role").distinct()
+
+    reach = paired.unionByName(parts.where("role = 'endpoint'"))
+    ahead = Window.partitionBy(row).orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
 
     def near(role: str) -> Column:
         other = F.when(F.col("role") == role, F.col("s"))
-        before = F.col("s.start") - F.max(other["stop"]).over(back)
-        after = F.first(other["start"], ignorenulls=True).over(ahead) - F.col("s.stop")
+        before = F.col("s.start") - F.max(other["stop"]).over(upto)
+        after = F.min(other["start"]).over(ahead) - F.col("s.stop")
         return (F.coalesce(before, F.lit(scope + 1)) <= scope) | (F.coalesce(after, F.lit(scope + 1)) <= scope)
 
-    parts = parts.withColumn("by_id", near("id")).withColumn("by_secret", near("secret"))
-    paired = (F.col("role") == "id") & F.col("by_secret") | (F.col("role") == "secret") & F.col("by_id")
-    reached = (F.col("role") == "endpoint") & F.col("by_id") & F.col("by_secret")
-    kept = parts.where((F.col("s.rank") >= PLAIN) & (paired | reached))
+    reach = reach.withColumn("by_id", near("id")).withColumn("by_secret", near("secret"))
+    kept = reach.where((F.col("s.rank") >= PLAIN) & ((F.col("role") != "endpoint") | F.col("by_id") & F.col("by_secret")))
     return kept.groupBy(row).agg(F.array_sort(F.collect_list("s")).alias("linked"))
 
 
