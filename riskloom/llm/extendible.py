@@ -5,14 +5,14 @@ may is split on the next bit, the others stay; several directory cells may so po
 The directory is built from sums per cell, `STEP` bits at a time, and only cells that are still too
 large are looked at more closely. It is a table, joined by cell, and never comes to the driver.
 
-Rows with equal keys have equal hashes, which no bit separates. They are numbered before, by a
-count of equal rows, and the number is part of the hash. A row that alone exceeds the limit
-gets a shard of its own, marked `oversized`.
+Rows with equal keys have equal hashes, which no bit separates. They are numbered before, whatever their
+sizes, and the number is part of the hash. A row that alone exceeds the limit gets a shard of its own, marked
+`oversized`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import run_dir
@@ -25,16 +25,31 @@ def _first_bits(bits: str, depth) -> object:
     return F.substring(F.col(bits), F.lit(1), depth)
 
 
-def with_hash(df: DataFrame, keys: list[str], size: str) -> DataFrame:
-    """One row per input row: keys, size, `copy` (number among equal rows) and `bits` (64 of a hash).
+def numbered(df: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """All rows and columns of df with `copy` (number among the rows of equal keys) and `bits` (64 of a hash).
 
-    The bits are those of the md5 of the keys, so that other engines can find the same shards.
+    The bits are those of the md5 of keys and copy, so that other engines can find the same shards. Rows are
+    written with a row number, whose upper bits are the task that wrote them. A key's rows are counted
+    per task, so a key with very many rows needs no task of its own.
     """
-    equal = df.groupBy(*keys, size).agg(F.count("*").alias("_n"))
-    copies = equal.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop("_n")
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys] + [F.col("copy").cast("string")]
-    digest = F.substring(F.md5(F.concat_ws("|", *parts)), 1, BITS // 4)
-    return copies.withColumn("bits", F.lpad(F.conv(digest, 16, 2), BITS, "0"))
+    spark = df.sparkSession
+    numbers = df.withColumn("_row", F.monotonically_increasing_id())
+    numbers.write.option("compression", "zstd").parquet(f"{place}/rows")
+    rows = spark.read.parquet(f"{place}/rows")
+    # Keys are told apart as they are hashed, so NULL and '' count together.
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    slim = rows.select("_row", F.concat_ws("|", *parts).alias("name"), F.shiftright("_row", 33).alias("task"))
+    before = F.sum("n").over(Window.partitionBy("name").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    counts = slim.groupBy("name", "task").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("before", before).where("before > 0").drop("n")
+    within = F.row_number().over(Window.partitionBy("name", "task").orderBy("_row")).cast("long") - 1
+    later = slim.withColumn("within", within).join(counts, ["name", "task"], "left")
+    later = later.select("_row", (F.coalesce("before", F.lit(0)) + F.col("within")).alias("copy"))
+    later.where("copy > 0").write.parquet(f"{place}/copies")  # few or none, as a rule
+    rows = rows.join(spark.read.parquet(f"{place}/copies"), "_row", "left").drop("_row")
+    rows = rows.withColumn("copy", F.coalesce("copy", F.lit(0).cast("long")))
+    digest = F.substring(F.md5(F.concat_ws("|", *parts, F.col("copy").cast("string"))), 1, BITS // 4)
+    return rows.withColumn("bits", F.lpad(F.conv(digest, 16, 2), BITS, "0"))
 
 
 def directory(rows: DataFrame, size: str, limit: int) -> DataFrame:
@@ -93,7 +108,8 @@ def shards(df: DataFrame, keys: list[str], size: str, limit: int) -> DataFrame:
 
     NULL sizes count 0, NULL keys are a key of their own, an empty table gives no rows.
     """
-    rows = with_hash(df.select(*keys, F.coalesce(F.col(size), F.lit(0)).cast("long").alias(size)), keys, size)
+    sized = df.select(*keys, F.coalesce(F.col(size), F.lit(0)).cast("long").alias(size))
+    rows = numbered(sized, keys, run_dir(df.sparkSession, "shards"))
     found = directory(rows, size, limit)
     depths = [r[0] for r in found.select("cell_depth").distinct().collect()]  # at most BITS / STEP
     out = None

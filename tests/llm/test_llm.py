@@ -209,6 +209,16 @@ def test_sharding(docs, none, rows):
     assert extendible.shards(none.selectExpr("doc_id", "n_chars AS n"), ["doc_id"], "n", 500).count() == 0
 
 
+def test_sharding_of_a_key_with_half_of_the_rows(spark):
+    sizes = [(None if i % 2 else i, 10 + i % 97) for i in range(600)] + [(7, 20), (7, 20), (7, 30)]
+    frame = spark.createDataFrame(sizes, "doc_id long, n long").repartition(5)
+    found = extendible.shards(frame, ["doc_id"], "n", 500).collect()
+    assert sorted(str((r["doc_id"], r["n"])) for r in found) == sorted(map(str, sizes))
+    assert len({(r["doc_id"], r["copy"]) for r in found}) == len(sizes)
+    assert all(r["shard_bytes"] <= 500 and not r["oversized"] for r in found)
+    assert max(r["copy"] for r in found) == 299 and sum(r["copy"] for r in found if r["doc_id"] == 7) == 3
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(6, 8))
