@@ -8,12 +8,15 @@ large are looked at more closely. It is a table, joined by cell, and never comes
 Rows with equal keys have equal hashes, which no bit separates. They are numbered before, whatever their
 sizes, and the number is part of the hash. A row that alone exceeds the limit gets a shard of its own, marked
 `oversized`.
+
+Whole rows are written, a folder per shard, and what is said about a shard is read from its files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskloom.session import run_dir
 
@@ -103,20 +106,44 @@ def _settle(cells: DataFrame, done: int, depth: int, limit: int) -> DataFrame:
     )
 
 
-def shards(df: DataFrame, keys: list[str], size: str, limit: int) -> DataFrame:
-    """Every row with its shard: (*keys, copy, size, shard, depth, shard_bytes, shard_rows, oversized).
+def write_shards(df: DataFrame, keys: list[str], measure: Column, limit: int, path: str) -> None:
+    """Write all rows and columns of df with `copy`, a folder `_shard=s<bits>` per shard of at most `limit` bytes.
 
-    NULL sizes count 0, NULL keys are a key of their own, an empty table gives no rows.
+    `measure` gives a row's bytes from its columns; NULL counts 0. NULL keys are a key of their own.
+    """
+    spark = df.sparkSession
+    place = run_dir(spark, "sharding")
+    rows = numbered(df, keys, place)
+    sized = rows.select("bits", F.coalesce(measure, F.lit(0)).cast("long").alias("_size"))
+    sized.write.parquet(f"{place}/sizes")
+    names = directory(spark.read.parquet(f"{place}/sizes"), "_size", limit).select("shard").distinct()
+    names.write.parquet(f"{place}/names")
+    names = spark.read.parquet(f"{place}/names")
+    # Shards have different depths; up to the least one all rows of a shard agree.
+    least = names.agg(F.min(F.length("shard"))).first()[0] or 0
+    fits = F.substring("bits", 1, least) == F.substring("shard", 1, least)
+    fits &= _first_bits("bits", F.length("shard")) == F.col("shard")
+    routed = rows.join(names, fits).select(*df.columns, "copy", F.concat(F.lit("s"), "shard").alias("_shard"))
+    routed.repartition("_shard").write.partitionBy("_shard").option("compression", "zstd").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows written by `write_shards`, `schema` being that of its df: its columns, copy and shard."""
+    whole = StructType([*schema.fields, StructField("copy", LongType()), StructField("_shard", StringType())])
+    found = spark.read.schema(whole).parquet(path)
+    return found.withColumn("shard", F.expr("substring(_shard, 2)")).drop("_shard")
+
+
+def shards(df: DataFrame, keys: list[str], size: str, limit: int, measure: Column | None = None) -> DataFrame:
+    """Every row as read from its shard's files: df's columns, copy, size, shard, depth, shard_bytes, shard_rows, oversized.
+
+    `size` is the column of a row's bytes; with `measure` it is new, computed from the row that was read. NULL
+    sizes count 0, NULL keys are a key of their own, an empty table gives no rows.
     """
-    sized = df.select(*keys, F.coalesce(F.col(size), F.lit(0)).cast("long").alias(size))
-    rows = numbered(sized, keys, run_dir(df.sparkSession, "shards"))
-    found = directory(rows, size, limit)
-    depths = [r[0] for r in found.select("cell_depth").distinct().collect()]  # at most BITS / STEP
-    out = None
-    for depth in sorted(depths):
-        cells = found.where(F.col("cell_depth") == depth).drop("cell_depth")
-        part = rows.join(cells, F.substring("bits", 1, depth) == F.col("cell")).drop("cell", "bits")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = rows.join(found.drop("cell_depth"), F.col("bits") == F.col("cell")).drop("cell", "bits")
-    return out
+    spark, measure = df.sparkSession, F.col(size) if measure is None else measure
+    path = run_dir(spark, "shards")
+    write_shards(df, keys, measure, limit, path)
+    found = read_shards(spark, path, df.schema).withColumn(size, F.coalesce(measure, F.lit(0)).cast("long"))
+    sums = found.groupBy("shard").agg(F.sum(size).alias("shard_bytes"), F.count("*").alias("shard_rows"))
+    sums = sums.withColumn("depth", F.length("shard")).withColumn("oversized", F.col("shard_bytes") > limit)
+    return found.join(sums, "shard")

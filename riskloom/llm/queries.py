@@ -31,9 +31,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes")
-    docs = _table(spark, sf_dir, "documents").select("doc_id", size)
-    return extendible.shards(docs, ["doc_id"], "n_bytes", SHARD_BYTES)
+    docs = _table(spark, sf_dir, "documents")
+    found = extendible.shards(docs, ["doc_id"], "n_bytes", SHARD_BYTES, F.octet_length("text"))
+    return found.select("doc_id", "n_bytes", "copy", "shard", "depth", "shard_bytes", "shard_rows", "oversized")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

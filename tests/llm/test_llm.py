@@ -219,6 +219,26 @@ def test_sharding_of_a_key_with_half_of_the_rows(spark):
     assert max(r["copy"] for r in found) == 299 and sum(r["copy"] for r in found if r["doc_id"] == 7) == 3
 
 
+def test_shards_hold_the_documents(spark, docs, rows):
+    twins = [(1, "ab" * 50, "en", "s1", 1, "h", n) for n in range(3)] + [(1, "cd" * 50, "de", "s2", 1, "h", 9)]
+    every = docs.unionByName(spark.createDataFrame(twins, SCHEMA))
+    path = run_dir(spark, "test-shards")
+    extendible.write_shards(every, ["doc_id"], F.octet_length("text"), 500, path)
+    stored = extendible.read_shards(spark, path, every.schema)
+    whole = sorted(map(str, [*rows, *twins]))
+    assert sorted(str(tuple(r[:7])) for r in stored.select(*every.columns, "shard").collect()) == whole
+    files = collections.defaultdict(list)
+    for r in spark.read.parquet(path).collect():
+        files[r["_shard"][1:]].append(r)
+    found = extendible.shards(every, ["doc_id"], "bytes", 500, F.octet_length("text")).collect()
+    assert sorted(str(tuple(r[c] for c in every.columns)) for r in found) == whole
+    for r in found:
+        inside = files[r["shard"]]
+        assert sum(len((x["text"] or "").encode()) for x in inside) == r["shard_bytes"] and len(inside) == r["shard_rows"]
+        assert r["bytes"] == len((r["text"] or "").encode()) and len(r["shard"]) == r["depth"]
+        assert r["shard_bytes"] <= 500 or r["oversized"] and r["shard_rows"] == 1
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(6, 8))
