@@ -5,8 +5,9 @@ bit per free space tells which lists hold one, so the tightest bin a piece fits
 bit at or above its length. When a new bin is needed and all are open, the fullest one closes.
 
 Pieces are dealt to packers by hash, as many packers as the tokens need, each with its own bins. The
-pieces of bins that a packer leaves with much room go to a next round with fewer packers, until one
-packer has had them all or the rest is small; so the number of packers costs next to no sequences.
+pieces of bins that a packer leaves with much room go to a next round with the packers that they need, until
+one packer has had them all or a round saves few of their sequences; so the number of packers costs next to
+no sequences, and no packer gets more than its share.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ CAPACITY = 2048
 OPEN_BINS = 4096
 TOKENS_PER_PACKER = 8_000_000
 FULL_PERCENT = 98  # a bin filled this far stays as it is when its packer ends
+SAVED_PERCENT = 2  # a round has to save this share of the sequences it takes apart, or it is the last
+ROUNDS = 30  # as many have room in a sequence_id
 ROUND = 1 << 40  # sequence numbers of one packer
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
@@ -126,25 +129,31 @@ def best_fit(found: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_B
     rest = spark.read.parquet(f"{place}/pieces")
     tokens = rest.agg(F.sum("length")).first()[0] or 0
     schema = f"{PIECES}, sequence_id long, offset long, done boolean"
-    turn = 0
-    while True:
+    open_before = None
+    for turn in range(ROUNDS):
         packers = max(1, min(1 << 17, -(-tokens // TOKENS_PER_PACKER)))
         last = packers == 1
         mixed = rest.withColumn("mixed", F.xxhash64("doc_id", "row", "piece", F.lit(turn)))
         dealt = mixed.withColumn("packer", F.expr(f"pmod(mixed, {packers})"))
         packed = dealt.groupBy("packer").applyInPandas(_packer(capacity, open_bins, turn, last), schema)
         packed.write.parquet(f"{place}/turn={turn}")
+        packed = spark.read.parquet(f"{place}/turn={turn}")
+        kept = turn
         if last:
             break
-        rest = spark.read.parquet(f"{place}/turn={turn}").where("NOT done").drop("sequence_id", "offset", "done")
-        left = rest.agg(F.sum("length")).first()[0] or 0
-        # Few packers less would not end; the last round takes what half of them could hold.
-        tokens = min(left, tokens // 4)
-        turn += 1
-        if not left:
+        # Every sequence has one piece at offset 0.
+        made = packed.where("offset = 0").agg(F.count("*"), F.count_if(~F.col("done"))).first()
+        if open_before is not None and made[0] * 100 > open_before * (100 - SAVED_PERCENT):
+            # Nothing to gain from a next round; of this one and the one before, the better stays.
+            kept = turn if made[0] <= open_before else turn - 1
             break
-    every = spark.read.option("basePath", place).parquet(*[f"{place}/turn={t}" for t in range(turn + 1 if last else turn)])
-    return every.where("done").drop("done", "turn")
+        open_before = made[1]
+        if not open_before:
+            break
+        rest = packed.where("NOT done").drop("sequence_id", "offset", "done")
+        tokens = rest.agg(F.sum("length")).first()[0]
+    every = spark.read.option("basePath", place).parquet(*[f"{place}/turn={t}" for t in range(kept + 1)])
+    return every.where(F.col("done") | (F.col("turn") == kept)).drop("done", "turn")
 
 
 def sequences(found: DataFrame) -> DataFrame:

@@ -109,6 +109,50 @@ def test_packing(docs, none, rows):
     assert packing.best_fit(packing.pieces(none, tokenizer_path())).count() == 0
 
 
+def packed_well(found, pieces, capacity):
+    """The lengths of the sequences, after a look at their places, pieces and checksums."""
+    shown = ["doc_id", "row", "piece", "start", "length", "ids_crc32"]
+    assert sorted(str([r[c] for c in shown]) for r in found) == sorted(str([r[c] for c in shown]) for r in pieces)
+    bins = collections.defaultdict(list)
+    for r in found:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for placed in bins.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return [sum(n for _, n in placed) for placed in bins.values()]
+
+
+def test_packing_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TOKENS_PER_PACKER", 640)
+    rng = random.Random(4)
+    columns = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
+    large = spark.createDataFrame([(i, i, 0, 0, 60 + i % 9, i) for i in range(300)], columns)
+    found = packing.best_fit(large, 100, 8).collect()
+    assert len(packed_well(found, large.collect(), 100)) == 300
+    load = collections.Counter()  # no packer of the round that is kept has far more than its share
+    for r in found:
+        load[r["sequence_id"] // packing.ROUND] += r["length"]
+    assert len(load) > 10 and max(load.values()) < 4 * 640
+    mixed = spark.createDataFrame([(i, i, 0, 0, rng.choice([3, 10, 35, 64, 90, 100]), i) for i in range(400)], columns)
+    found = packing.best_fit(mixed, 100, 8).collect()
+    sequences = packed_well(found, mixed.collect(), 100)
+    assert len({r["sequence_id"] >> 58 for r in found}) > 1
+    assert len(sequences) <= 1.1 * sum(r["length"] for r in found) / 100
+
+
+def test_packing_checksums(docs, rows):
+    pieces = packing.pieces(docs, tokenizer_path(), 64)
+    found = packing.best_fit(pieces, 64, 4).collect()
+    crc = collections.Counter()
+    for doc, text, *_ in rows:
+        ids = ids_of(text)
+        crc.update((doc, a, n, zlib.crc32(ids[a : a + n].tobytes())) for a, n in packing.cut(len(ids), 64))
+    assert crc == collections.Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in found)
+
+
 def test_mixing(docs, none, rows):
     found = mixing.taken(docs, block=8).collect()
     assert len(found) == len(rows) and all(r["taken"] <= 2 * r["size"] for r in found)
