@@ -27,9 +27,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near copies, and of rows that share it the first by text."""
-    groups = ngram_join.ngram_join(docs).where("doc_id IS NOT NULL AND doc_id <> component_id")
-    return docs.join(groups.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of rows that are near copies the first by doc_id, then text; NULL doc_ids come last.
+
+    Rows are told apart whatever their doc_id. Texts without words have no copies, but of those that share a
+    doc_id the first by text is kept.
+    """
+    place = run_dir(spark, "near-copies")
+    docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{place}/docs")
+    kept = spark.read.parquet(f"{place}/docs")
+    joined = ngram_join.ngram_join(kept.select(F.col("_row").alias("doc_id"), "text"))
+    joined = joined.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").join(kept.select("_row", "doc_id"), "_row")
+    wordless = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    group = F.struct(wordless.alias("wordless"), F.when(wordless, F.col("doc_id")).otherwise(F.col("component_id")).alias("of"))
+    joined.select("_row", "doc_id", group.alias("group")).write.parquet(f"{place}/groups")
+    groups = spark.read.parquet(f"{place}/groups")
+
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id")
+    least = groups.groupBy("group").agg(F.min(order).alias("least"))
+    ahead = groups.join(least, "group").where(F.col("doc_id").eqNullSafe(F.col("least.doc_id"))).select("_row", "group")
+    ahead.write.parquet(f"{place}/ahead")
+    ahead = spark.read.parquet(f"{place}/ahead")
+    counted = ahead.groupBy("group").agg(F.count("*").alias("n"), F.min("_row").alias("_row"))
+    ahead.join(counted.where("n > 1").select("group"), "group", "left_semi").write.parquet(f"{place}/tied")
+    tied = spark.read.parquet(f"{place}/tied")  # rows that share a doc_id, the only ones whose texts are compared
+    first = tied.join(kept.select("_row", "text"), "_row").groupBy("group").agg(F.min(F.struct("text", "_row")).alias("first"))
+    first = counted.where("n = 1").select("_row").unionByName(first.select("first._row"))
+    groups.join(first, "_row", "left_anti").select("_row").write.parquet(f"{place}/dropped")
+    return kept.join(spark.read.parquet(f"{place}/dropped"), "_row", "left_anti").select(*COLUMNS)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

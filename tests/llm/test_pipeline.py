@@ -1,0 +1,63 @@
+"""The stages of the corpus pipeline, one by one, on hand-made rows against plain Python."""
+
+import random
+
+import pytest
+
+import corpus_pipeline as pipeline
+from riskloom.session import run_dir
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(rng, n):
+    return " ".join(rng.choice(["ab", "cde", "f", "ghi", "jk", "lm"]) + str(rng.randrange(40)) for _ in range(n))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def shown(rows):
+    return sorted(map(str, map(tuple, rows)))
+
+
+def row(doc, text, source="s1"):
+    return (doc, text, "en", source, None if text is None else len(text))
+
+
+def first_of_near_copies(rows):
+    """Rows linked by 80 % of their sets of five words, by comparing all; wordless ones by doc_id."""
+    sets = []
+    for _, text, *_ in rows:
+        w = (text or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a in root[:]:
+            for b in range(len(rows)):
+                common = len(sets[a] & sets[b])
+                linked = common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+                same = not sets[a] and not sets[b] and rows[a][0] is not None and rows[a][0] == rows[b][0]
+                if linked or same:
+                    root[a] = root[b] = min(root[a], root[b])
+    groups = {}
+    for i, r in enumerate(rows):
+        groups.setdefault(root[i], []).append(r)
+    return [min(g, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "")) for g in groups.values()]
+
+
+def test_near_copies(spark):
+    rng = random.Random(5)
+    base, other, clean, third = (words(rng, n) for n in (60, 50, 45, 30))
+    near = base.split()
+    near[30] = "changed"
+    rows = [row(1, base), row(2, " ".join(near)), row(2, clean)]  # the second row of 2 is nobody's copy
+    rows += [row(3, other), row(3, other), row(3, other.upper())]  # repeated, its own component
+    rows += [row(None, third), row(None, third), row(None, base), row(None, words(rng, 20))]
+    rows += [row(5, ""), row(5, ""), row(5, None), row(6, ""), row(None, ""), row(None, None)]
+    found = shown(pipeline.keep_one_of_near_copies(spark, frame(spark, rows), "").collect())
+    assert found == shown(first_of_near_copies(rows))
+    assert str(row(2, clean)) in found and str(row(3, other.upper())) in found
+    assert sum(str(row(None, third)) == f for f in found) == 1 and len(found) == 9
+    assert pipeline.keep_one_of_near_copies(spark, frame(spark, rows).limit(0), "").count() == 0
