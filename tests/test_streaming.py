@@ -32,7 +32,7 @@ def test_whole_number_sent_as_float_is_kept(spark):
 
 def test_bad_fields_and_junk_become_null(spark):
     rows = parsed(spark, text(age="old"), json.dumps({"bmi": 30.5}), "junk", None).collect()
-    assert rows[0]["age"] is None and rows[0]["bmi"] == 28.5
+    assert rows[0]["age"] is None and rows[0]["bmi"] == BLANK["bmi"]
     assert rows[1]["bmi"] == 30.5 and rows[1]["gender"] is None
     assert all(v is None for v in rows[2]) and all(v is None for v in rows[3])
 
@@ -52,7 +52,7 @@ def test_messages_carry_null_for_missing_values(spark):
 
 def test_event_time_is_kept_next_to_the_scoring_time(spark):
     row = stamped(events(spark, {}), F.lit("2024-01-01 00:00:00").cast("timestamp")).first()
-    assert row["event_time"].timestamp() == 1_700_000_000 and row["processing_time"].year == 2024
+    assert row["event_time"].timestamp() == BLANK["timestamp"] and row["processing_time"].year == 2024
 
 
 def stream_of(spark, folder, max_files=1):
