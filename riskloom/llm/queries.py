@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, tokens, toxicity
+from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, tokens, toxicity, url_filter
 from riskloom.session import run_dir
 
 SHARD_BYTES = 1 << 20
 QUERY_EVERY = 20
 TOXIC = 0.7
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +81,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(docs, run_dir(spark, "secrets"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_pu_toxicity": op1,
     "op2_extendible_sharding": op2,
@@ -86,6 +98,7 @@ QUERIES = {
     "op8_ppm_scores": op8,
     "op9_ngram_jaccard_join": op9,
     "op10_secret_linking": op10,
+    "op13_url_trie": op13,
 }
 
 #: Shards: every level's buckets from the whole hash, and the first level that fits.
@@ -142,7 +155,28 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
+#: The rules one by one, the longest first.
+OP13_SQL = r"""
+WITH behind AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM behind
+), ruled AS (
+  SELECT *, CASE
+    WHEN '.' || host LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN '.' || host LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN '.' || host LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN '.' || host LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM cut
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
 ORACLES = {
     "op2_extendible_sharding": OP2_SQL,
     "op9_ngram_jaccard_join": OP9_SQL,
+    "op13_url_trie": OP13_SQL,
 }
