@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, tokens, toxicity, url_filter
+from riskloom.llm import dialogue, extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, tokens, toxicity, url_filter
 from riskloom.session import run_dir
 
 SHARD_BYTES = 1 << 20
@@ -81,6 +81,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(docs, run_dir(spark, "secrets"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) of the rows with faults put in by a hash of conv_id and turn."""
+    blank = F.lit(" ")
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")])
+    kind = F.crc32(name) % 20
+    text, role = F.coalesce("text", blank), F.coalesce("role", blank)
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(kind == 4, "user").otherwise(role)
+    left = rows.where(kind != 0)
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return left.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    place = run_dir(spark, "dialogue")
+    found = dialogue.digest(dialogue.repair(damaged(rows), place), place).withColumnRenamed("conv_id", "of")
+    joined = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    zeros = dict.fromkeys(("gaps", "blank", "duplicate", "truncated", "illegal", "cost"), F.lit(0).cast("long"))
+    without = {**zeros, "audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return joined.select("conv_id", *[F.coalesce(c, without[c]).alias(c) for c in without])
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -98,6 +121,7 @@ QUERIES = {
     "op8_ppm_scores": op8,
     "op9_ngram_jaccard_join": op9,
     "op10_secret_linking": op10,
+    "op12_conversation_repair": op12,
     "op13_url_trie": op13,
 }
 
@@ -155,6 +179,92 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
+
+def _op12_sql() -> str:
+    """The cheapest way to each of the four states, message by message, as (c)ost, (a)udit and (o)utput."""
+
+    def grown(way: str, edit: str, cost: str, line: str = "''") -> str:
+        return f"{{'c': {way}.c + {cost}, 'a': {way}.a || '{edit}', 'o': {way}.o || {line}}}"
+
+    def inserted(way: str, role: str) -> str:
+        return grown(way, "I", "2", f"chr(10) || '{role}:'")
+
+    def spoken(way: str, initial: str, role: str = "") -> list[str]:
+        never = "CASE WHEN fault = 2 THEN 1000000000 ELSE 0 END + fault"
+        kept = f"CASE WHEN role[1:1] = '{initial}' THEN 0 ELSE 1000000000 END + {never}"
+        ways = [grown(way, "K", kept, "chr(10) || role || ':' || text") for way in way.split()]
+        if role:
+            ways += [grown(w, "R", f"2 + {never}", f"chr(10) || '{role}:' || text") for w in way.split()]
+        return ways
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def closed(way: str) -> str:
+        return inserted(f"({inserted(way, 'user')})", "assistant")
+
+    far = "{'c': 1000000000::BIGINT, 'a': '', 'o': ''}"
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE bits AS (
+  SELECT n, n::BIGINT AS c, 0 AS i FROM range(256) t(n)
+  UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM bits WHERE i < 8
+), crc AS (
+  SELECT list(c ORDER BY n) AS t FROM bits WHERE i = 8
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS name
+  FROM conversations
+), kinds AS (
+  SELECT name, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT)),
+                               lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM (SELECT DISTINCT name FROM named), crc
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM named JOIN kinds USING (name), LATERAL (SELECT unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))) copies
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         rtrim(text, {blanks}) AS solid FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS kind,
+         CASE WHEN kind IN ('blank', 'duplicate') THEN 2 WHEN kind = 'truncated' THEN 1 ELSE 0 END AS fault,
+         lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair
+  FROM ordered
+), walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'o': ''}} AS b0, {far} AS b1, {far} AS b2, {far} AS b3 FROM judged
+  UNION ALL
+  SELECT conv_id, i, {grown("c0", "D", "3")}, {least(grown("c1", "D", "3"), *spoken("c0", "s"))},
+         {least(grown("c2", "D", "3"), *spoken("c0 c1 c3", "u", "user"))},
+         {least(grown("c3", "D", "3"), *spoken("c2", "a", "assistant"))}
+  FROM (
+    SELECT *, {least("c3_", inserted("c2", "assistant"))} AS c3 FROM (
+      SELECT w.conv_id, j.i, role, text, fault, b0 AS c0, b1 AS c1, b3 AS c3_,
+             {least("b2", inserted("b0", "user"), inserted("b1", "user"), inserted("b3", "user"))} AS c2
+      FROM walk w JOIN judged j ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = w.i + 1
+    )
+  )
+), best AS (
+  SELECT conv_id, arg_max({least("b0", closed("b1"), inserted("b2", "assistant"), "b3")}, i) AS way
+  FROM walk GROUP BY conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+         count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.c, 0)::BIGINT AS cost,
+       coalesce(way.a, '') AS audit, sha256(coalesce(substr(way.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+OP12_SQL = _op12_sql()
+
 #: The rules one by one, the longest first.
 OP13_SQL = r"""
 WITH behind AS (
@@ -178,5 +288,6 @@ FROM ruled
 ORACLES = {
     "op2_extendible_sharding": OP2_SQL,
     "op9_ngram_jaccard_join": OP9_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_url_trie": OP13_SQL,
 }
