@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import dialogue, extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, tokens, toxicity, url_filter
+from riskloom.llm import dialogue, extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, ranked_search, secrets, token_files, tokens, toxicity, url_filter
 from riskloom.session import run_dir
 
 SHARD_BYTES = 1 << 20
@@ -81,6 +81,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(docs, run_dir(spark, "secrets"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) of the rows with faults put in by a hash of conv_id and turn."""
     blank = F.lit(" ")
@@ -121,6 +125,7 @@ QUERIES = {
     "op8_ppm_scores": op8,
     "op9_ngram_jaccard_join": op9,
     "op10_secret_linking": op10,
+    "op11_ranked_search": op11,
     "op12_conversation_repair": op12,
     "op13_url_trie": op13,
 }
@@ -179,6 +184,35 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
+#: Every document's score for every item, then the best.
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), totals AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM words WHERE len(w) > 0
+), asked AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT *, row_number() OVER () AS item FROM benchmark))
+  GROUP BY ALL
+), held AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM words)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals
+), scored AS (
+  SELECT item, item_id, row, doc_id,
+         sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term), totals GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def _op12_sql() -> str:
     """The cheapest way to each of the four states, message by message, as (c)ost, (a)udit and (o)utput."""
@@ -288,6 +322,7 @@ FROM ruled
 ORACLES = {
     "op2_extendible_sharding": OP2_SQL,
     "op9_ngram_jaccard_join": OP9_SQL,
+    "op11_ranked_search": OP11_SQL,
     "op12_conversation_repair": OP12_SQL,
     "op13_url_trie": OP13_SQL,
 }
