@@ -30,7 +30,7 @@ TOKENS_PER_PACKER = 8_000_000
 FULL_PERCENT = 98  # a bin filled this far stays as it is when its packer ends
 SAVED_PERCENT = 2  # a round has to save this share of the sequences it takes apart, or it is the last
 ROUNDS = 30  # as many have room in a sequence_id
-ROUND = 1 << 40  # sequence numbers of one packer
+ROUND = 1 << 30  # sequence numbers of one packer, far more than its tokens fill
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -63,11 +63,20 @@ def pack(lengths: Iterable[int], capacity: int = CAPACITY, open_bins: int = OPEN
             opened -= 1
 
 
+def cuts(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, ...]:
+    """(text, piece, start, length) of the pieces of texts of 1 and more; only a first one may be shorter than the capacity."""
+    first = (lengths - 1) % capacity + 1
+    counts = (lengths - first) // capacity + 1
+    text = np.repeat(np.arange(len(lengths)), counts)
+    piece = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = np.where(piece > 0, first[text] + (piece - 1) * capacity, 0)
+    return text, piece, start, np.where(piece > 0, capacity, first[text])
+
+
 def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of a document; only the first may be shorter than the capacity."""
-    first = length % capacity or capacity
-    borders = [0, *range(min(first, length), length + 1, capacity)]
-    return [(a, b - a) for a, b in zip(borders, borders[1:], strict=False)]
+    """(start, length) of the pieces of one text."""
+    _, _, start, lengths = cuts(np.array([length]), capacity)
+    return list(zip(start.tolist(), lengths.tolist(), strict=True))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -83,16 +92,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
-                ids, rows = part.column(0).to_pylist(), part.column(2).to_pylist()
-                out: list[tuple] = []
-                for doc, row, encoded in zip(ids, rows, encoder.encode(part.column(1).to_pylist()), strict=True):
-                    encoded += bytes(4)
-                    for number, (start, length) in enumerate(cut(len(encoded) // 4, capacity)):
-                        crc = zlib.crc32(memoryview(encoded)[4 * start : 4 * (start + length)])
-                        out.append((doc, row, number, start, length, crc))
-                columns = list(zip(*out, strict=True)) or [()] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                flat, borders = encoder.ids(part.column(1), end=True)
+                flat = memoryview(flat.astype("<u4")).cast("B")
+                text, number, start, length = cuts(np.diff(borders), capacity)
+                begin = 4 * (borders[text] + start)
+                crc = [zlib.crc32(flat[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist(), strict=True)]
+                arrays = [part.column(0).take(pa.array(text)), part.column(2).take(pa.array(text)), pa.array(number.astype(np.int32))]
+                arrays += [pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
     numbered = docs.select(
@@ -131,7 +137,7 @@ def best_fit(found: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_B
     schema = f"{PIECES}, sequence_id long, offset long, done boolean"
     open_before = None
     for turn in range(ROUNDS):
-        packers = max(1, min(1 << 17, -(-tokens // TOKENS_PER_PACKER)))
+        packers = max(1, -(-tokens // TOKENS_PER_PACKER))
         last = packers == 1
         mixed = rest.withColumn("mixed", F.xxhash64("doc_id", "row", "piece", F.lit(turn)))
         dealt = mixed.withColumn("packer", F.expr(f"pmod(mixed, {packers})"))

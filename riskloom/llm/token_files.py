@@ -28,7 +28,6 @@ OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
     "compression": "snappy",
 }
-END = bytes(4)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -42,10 +41,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, BATCH):
                 part = batch.slice(low, BATCH)
-                found = [ids + END for ids in encoder.encode(part.column(2).to_pylist())]
-                borders = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32())
-                ids = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), flat)
+                flat, borders = encoder.ids(part.column(2), end=True)
+                ids = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], ["doc_id", "text_hash", "ids"])
 
     text = F.col("text").cast("string")

@@ -49,6 +49,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return ROOM["up"][:n], ROOM["down"][:n]
 
 
+def span_hashes(raw: np.ndarray, first: np.ndarray, last: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of raw[first:last], which have the same value wherever they stand."""
+    up, down = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(codes[raw] * up[:-1], out=sums[1:])
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n+1 borders of its texts; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -97,10 +105,7 @@ def words(data: np.ndarray, bounds: np.ndarray, blank: np.ndarray = SPACE) -> Wo
         first = np.flatnonzero(solid[1:-1] & (head[:-1] | ~solid[:-2]))
         head[-1] = True
         last = np.flatnonzero(solid[1:-1] & (head[1:] | ~solid[2:])) + 1
-        up, down = _powers(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(codes[raw] * up[:-1], out=sums[1:])
-        hashes.append(mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)))
+        hashes.append(span_hashes(raw, first, last, codes))
         starts.append(first + at)
         ends.append(last + at)
         at = to

@@ -1,18 +1,20 @@
 """The text operators on hand-made rows against plain Python: nulls, empty and repeated rows, ties, empty tables."""
 
 import collections
+import functools
 import hashlib
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, toxicity
-from riskloom.llm.tokens import Encoder, tokenizer_path
+from riskloom.llm.tokens import Encoder, _Numbers, tokenizer_path
 from riskloom.session import run_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, row_extra int"
@@ -44,8 +46,13 @@ def none(docs):
     return docs.limit(0)
 
 
+@functools.cache
+def library():
+    return Tokenizer.from_file(tokenizer_path())
+
+
 def ids_of(text):
-    return np.array([*Tokenizer.from_file(tokenizer_path()).encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+    return np.array([*library().encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
 def test_encoder_equals_the_library():
@@ -53,8 +60,23 @@ def test_encoder_equals_the_library():
     texts = ["", "a  b", " a\n b ", "don't 's", "a\n  b", "x" * 200 + " y", "a b c"]
     texts += ["Well, well. Why?! yes... no;", "a Foo, Foo Foo. Foo.Bar, <|endoftext|> endoftext, été, it's", " don, don't ll, 'll, s."]
     texts += ["".join(rng.choice("ab .,\n\t'1é ") for _ in range(25)) for _ in range(300)]
+    texts += ["".join(rng.choice(["a", "É", "ß", "×", "÷", "\u00a0", "\u2003", "\u3000", "…", "日", ".", "!", "\n", " ", "'s", "7"]) for _ in range(30)) for _ in range(600)]
+    texts += [None, "\n", ".\n.", "a\nb", "\na", "a\n", "é\nb.'s", "x,\n y", "a.'ll", "é.", "÷.", "…."]
     found = Encoder.of(tokenizer_path()).encode(texts)
     assert [f + bytes(4) for f in found] == [ids_of(t).tobytes() for t in texts]
+    ids, borders = Encoder(tokenizer_path()).ids(pa.array(texts, pa.string()).slice(3), end=True)
+    assert np.split(ids, borders[1:-1])[-1].tolist() == ids_of(texts[-1]).tolist() and len(borders) == len(texts) - 2
+    assert Encoder(tokenizer_path()).ids(pa.array([], pa.string()), end=True)[0].tolist() == []
+
+
+def test_numbers_of_many_hashes():
+    rng = np.random.default_rng(1)
+    hashes = np.unique(rng.integers(0, (1 << 64) - 1, 50_000, dtype=np.uint64))
+    numbers = _Numbers(64)
+    for some in np.array_split(hashes, 7):
+        assert (numbers.find(some) == -1).all()
+        numbers.add(some)
+    assert (numbers.find(hashes) == np.arange(len(hashes))).all() and numbers.find(hashes + np.uint64(1)).max() == -1
 
 
 def test_ngram_join(docs, none, rows):
