@@ -245,7 +245,7 @@ def test_links_are_those_of_all_pairs(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     role = [k[2] for k in secrets.KINDS]
     some = 0
-    spans = secrets.secret_spans(frame).collect()
+    spans = secrets.secret_spans(frame, run_dir(spark, "t")).collect()
     found = linked_kinds(spark, texts)
     for r in spans:
         parts = [tuple(s) for s in [*r["plain"], *r["weak"]]]
@@ -398,3 +398,31 @@ def test_toxicity_learns_from_positives(spark, none):
     assert np.mean([(found[i] >= 0.7) == (i >= 900) for i in odd]) > 0.95
     assert found[1100] == found[1101] < 0.5 and toxicity.train(frame, labels.limit(0), F.col("doc_id") >= 0) == []
     assert toxicity.score(none.select("doc_id", "text"), models).count() == 0
+
+
+def test_many_secrets_in_one_text(spark):
+    """Texts on both sides of MANY, against plain Python, and a text of 100,000 matches."""
+    rng = random.Random(8)
+    rows = []
+    for n in (0, 1, 170, 171, 172, 300, 600):
+        some = [rng.choice(["password=abcdef1 é", "token: abc", "AKIA" + "A" * 17, "0123456789abcdef01234567", "plain é日", "api_key: '12345678'"]) for _ in range(n)]
+        rows.append((n, " ".join(some), "own", "own", n))
+    rows.append((1000, "secret:abcdef " * 100_000, "own", "own", 0))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, plain string, Weak string, row int")
+    found = {r["doc_id"]: r for r in secrets.secret_scan(frame, run_dir(spark, "t")).collect()}
+    hidden = {r["doc_id"]: r["text"] for r in secrets.redacted(frame, run_dir(spark, "t")).collect()}
+    kinds = [("assign", re.compile(secrets.ASSIGN.replace("(?i)", ""), re.IGNORECASE | re.ASCII)), ("access", re.compile(secrets.ACCESS)), ("hex", re.compile(secrets.HEX))]
+    for doc, text, *_ in rows:
+        spans = []
+        for rank, (kind, pattern) in enumerate(kinds):
+            matches = [m for m in pattern.finditer(text) if kind != "assign" or len(m.group(2)) >= 6]
+            assert found[doc][f"n_{kind}"] == len(matches)
+            spans += [(m.start(), rank, m.end()) for m in matches]
+        shown = ",".join(f"{kinds[k][0]}:{a}:{b}" for a, k, b in sorted(spans))
+        assert found[doc]["base_sha256"] == hashlib.sha256(shown.encode()).hexdigest() and found[doc]["spans"] == shown
+        assert (found[doc]["plain"], found[doc]["Weak"], found[doc]["row"]) == ("own", "own", rows[[r[0] for r in rows].index(doc)][4])
+        out, at = [], 0
+        for a, _, b in sorted(spans):
+            out += [text[at:a], "[secret]"] if a >= at else []
+            at = max(at, b)
+        assert hidden[doc] == "".join(out) + text[at:]
