@@ -38,7 +38,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = extendible.shards(docs, ["doc_id"], "n_bytes", SHARD_BYTES, F.octet_length("text"))
+    found = extendible.shards(docs, ["doc_id"], "n_bytes", SHARD_BYTES, F.octet_length("text"), F.col("text"))
     return found.select("doc_id", "n_bytes", "copy", "shard", "depth", "shard_bytes", "shard_rows", "oversized")
 
 
@@ -133,9 +133,9 @@ QUERIES = {
 #: Shards: every level's buckets from the whole hash, and the first level that fits.
 OP2_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes FROM documents
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes, md5(coalesce(text, '')) AS tie FROM documents
 ), copies AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, n_bytes) - 1 AS copy FROM sized
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tie) - 1 AS copy FROM sized
 ), hashed AS (
   SELECT *, lpad(bin(('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), copy::VARCHAR)), 1, 16))::UBIGINT),
                  64, '0') AS bits FROM copies
@@ -147,7 +147,7 @@ WITH sized AS (
   FROM levels GROUP BY depth, prefix
 ), fitting AS (
   SELECT l.doc_id, l.n_bytes, l.copy, l.bits, b.*,
-         row_number() OVER (PARTITION BY l.bits ORDER BY b.depth) AS rank
+         row_number() OVER (PARTITION BY l.doc_id, l.copy ORDER BY b.depth) AS rank
   FROM levels l JOIN buckets b ON l.depth = b.depth AND l.prefix = b.prefix
   WHERE b.shard_bytes <= {SHARD_BYTES} OR b.shard_rows = 1 OR b.depth = 64
 )

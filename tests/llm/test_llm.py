@@ -7,13 +7,15 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import oracle
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, range_join, secrets, token_files, toxicity
+from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, queries, range_join, secrets, token_files, toxicity
 from riskloom.llm.tokens import Encoder, _Numbers, tokenizer_path
 from riskloom.session import run_dir
 
@@ -310,10 +312,10 @@ def test_shards_hold_the_documents(spark, docs, rows):
     extendible.write_shards(every, ["doc_id"], F.octet_length("text"), 500, path)
     stored = extendible.read_shards(spark, path, every.schema)
     whole = sorted(map(str, [*rows, *twins]))
-    assert sorted(str(tuple(r[:7])) for r in stored.select(*every.columns, "shard").collect()) == whole
+    assert sorted(str(tuple(r[:7])) for r in stored.select("own.*", "shard").collect()) == whole
     files = collections.defaultdict(list)
     for r in spark.read.parquet(path).collect():
-        files[r["_shard"][1:]].append(r)
+        files[r["shard"][1:]].append(r["own"])
     found = extendible.shards(every, ["doc_id"], "bytes", 500, F.octet_length("text")).collect()
     assert sorted(str(tuple(r[c] for c in every.columns)) for r in found) == whole
     for r in found:
@@ -323,6 +325,25 @@ def test_shards_hold_the_documents(spark, docs, rows):
         assert r["shard_bytes"] <= 500 or r["oversized"] and r["shard_rows"] == 1
 
 
+def test_shards_by_any_files_and_with_any_columns(spark, tmp_path):
+    """The query equals its SQL on rows that share ids, however they lie, and columns keep their names and values."""
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(40)]), words(rng, rng.choice([0, 3, 30])) or None) for _ in range(150)]
+    rows += [(None, "same"), (None, "same"), (3, ""), (3, None)] + [(5, "x" * 3_000_000)] + [(6, "y" * n) for n in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert oracle.difference(queries.op2(spark, str(tmp_path)), con, queries.OP2_SQL) is None
+    own = "'a' AS copy, 'b' AS bits, 'c' AS _row, 'd' AS Shard, 'e' AS _shard, 'f' AS _size, 'g' AS own, 'h' AS name, 'i' AS size"
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", own.split(", ")[0], *own.split(", ")[1:])
+    found = {}
+    for files in (1, 7):
+        df = extendible.shards(frame.repartition(files), ["doc_id"], "n_bytes", 1 << 20, F.octet_length("text"))
+        assert [df.first()[c] for c in ("bits", "_row", "_shard", "_size", "own", "name", "size")] == list("bcefghi")
+        found[files] = sorted(str((r["doc_id"], r["text"] or "", r["copy"], r["shard"], r["shard_rows"])) for r in df.collect())
+    assert found[1] == found[7] and len(found[1]) == len(rows)
+
+
 def vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=(6, 8))
