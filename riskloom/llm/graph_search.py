@@ -1,23 +1,26 @@
 """Approximate nearest neighbours by robust-pruned directed graphs, one per shard.
 
-Vectors are dealt to shards by hash. A shard's graph starts with random neighbours. Then, batch by batch and twice over,
+Vectors of similar length, within a factor of RATIO, are dealt to shards by hash. A shard's graph starts with random neighbours. Then, batch by batch and twice over,
 a greedy beam search for each vector proposes neighbours; of these, nearest first, one is kept and those
 that are nearer to it than to the vector by a factor alpha are dropped, which keeps edges in diverse directions.
 Edges are also added backwards and pruned alike. A query searches every shard's graph with a
 beam and the shards' results are merged.
 
 Largest inner product becomes smallest distance by one more coordinate, sqrt(M^2 - |x|^2), M being the
-shard's largest norm. Equal vectors are one node that keeps the smallest ids, as many as a result can show.
+shard's largest norm. As norms in a shard are similar, that coordinate does not outweigh the others. Vectors are
+divided by M and queries by their own norm for it, which changes no order. Equal vectors are one node that keeps the smallest ids, as many as a result can show.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.vectors import usable, with_class
+from riskloom.llm.vectors import matrix_of, norms, unit, usable, with_class
 from riskloom.llm.words import stream
 from riskloom.session import run_dir
 
@@ -30,12 +33,17 @@ ALPHA = 1.2
 BATCH = 256
 QUERY_BLOCK = 4096
 STEP = 4  # nodes a beam expands at once
+RATIO = 1.25  # between the norms in a shard
 
 
 def lifted(matrix: np.ndarray) -> np.ndarray:
-    """Vectors among which smallest distance to (q, 0) is largest inner product with q."""
-    square = (matrix * matrix).sum(1)
-    return np.concatenate([matrix, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], 1)
+    """Vectors of length 1 among which smallest distance to (q, 0) is largest inner product with q."""
+    scale, length = norms(matrix)
+    scale = scale / scale.max()
+    longest = (scale * length).max()
+    own = matrix / np.abs(matrix).max() / longest
+    square = np.minimum((scale * length / longest) ** 2, 1)
+    return np.concatenate([own, np.sqrt(1 - square)[:, None]], 1)
 
 
 def beam_search(points, links, start: int, queries, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +165,7 @@ def _add_back(points, links, nodes, degree: int, alpha: float) -> None:
 
 def _index(shard: pd.DataFrame) -> pd.DataFrame:
     shard = shard.sort_values("node", kind="stable")
-    matrix = np.array([np.asarray(v, np.float64) for v in shard["vector"]])
+    matrix = matrix_of(shard["vector"])
     links, start = build(lifted(matrix).astype(np.float32))
     shard["links"] = [row[row >= 0].tolist() for row in links]
     shard["number"] = np.arange(len(shard))
@@ -170,7 +178,7 @@ def _search(nearest: int, beam: int):
         columns = {"query_id": [], "vec_id": [], "score": []}
         if len(nodes) and len(queries):
             nodes = nodes.sort_values("number", kind="stable")
-            matrix = np.array([np.asarray(v, np.float64) for v in nodes["vector"]])
+            matrix = matrix_of(nodes["vector"])
             points = lifted(matrix).astype(np.float32)
             links = np.full((len(nodes), max(1, nodes["links"].map(len).max())), -1)
             for row, near in enumerate(nodes["links"]):
@@ -179,14 +187,18 @@ def _search(nearest: int, beam: int):
             members = [list(m) for m in nodes["members"]]
             for low in range(0, len(queries), BATCH):
                 part = queries.iloc[low : low + BATCH]
-                wanted = np.array([np.asarray(v, np.float64) for v in part["vector"]])
-                lifted_queries = np.concatenate([wanted, np.zeros((len(wanted), 1))], 1).astype(np.float32)
+                wanted = matrix_of(part["vector"])
+                lifted_queries = np.concatenate([unit(wanted), np.zeros((len(wanted), 1))], 1).astype(np.float32)
                 found, _far = beam_search(points, links, start, lifted_queries, beam)
                 for query, vector, row in zip(part["query_id"], wanted, found, strict=True):
                     row = row[row >= 0]
                     scores = (matrix[row] * vector).sum(1)
-                    rows = sorted((-s, m) for s, r in zip(scores, row, strict=True) for m in members[r] if m != query)
-                    for score, member in rows[:nearest]:
+                    best: dict[int, float] = {}  # of rows that share an id the nearest
+                    for s, r in zip(scores, row, strict=True):
+                        for m in members[r]:
+                            best[m] = max(best.get(m, s), s)
+                    best.pop(query, None)
+                    for score, member in sorted((-s, m) for m, s in best.items())[:nearest]:
                         columns["query_id"].append(query)
                         columns["vec_id"].append(member)
                         columns["score"].append(-score)
@@ -206,18 +218,24 @@ def build_index(vectors: DataFrame, folder: str, nearest: int = NEAREST) -> Data
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")
     ).where(F.col("vec_id").isNotNull() & usable("vector"))
-    keyed = with_class(rows, ["vector"])
+    keyed = with_class(rows, ["vector"]).dropDuplicates(["k1", "k2", "vec_id"])
     # Spark cuts each group to its first rows before the shuffle, so a frequent vector is no large group.
     first = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("vec_id"))
     few = keyed.withColumn("n", first).where(F.col("n") <= nearest + 1)
     nodes = few.groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list("vec_id")).alias("members"), F.any_value("vector").alias("vector")
     )
-    nodes = nodes.select(F.col("members")[0].alias("node"), "members", "vector", F.size("vector").alias("d"), "k1")
+    # The logarithm of the norm, from the largest component and the others relative to it.
+    largest = F.array_max(F.transform("vector", F.abs))
+    nodes = nodes.withColumn("largest", largest).withColumn(
+        "norm", F.expr("ln(largest) + 0.5 * ln(aggregate(vector, 0D, (s, x) -> s + (x / largest) * (x / largest)))")
+    )
+    level = F.floor(F.col("norm") / math.log(RATIO)).alias("level")
+    nodes = nodes.select(F.col("members")[0].alias("node"), "members", "vector", F.size("vector").alias("d"), level, "k1")
     nodes.write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
-    shards = nodes.groupBy("d").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
-    dealt = nodes.join(shards, "d").withColumn("shard", F.expr("concat(d, '/', pmod(k1, shards))"))
+    shards = nodes.groupBy("d", "level").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
+    dealt = nodes.join(shards, ["d", "level"]).withColumn("shard", F.expr("concat(d, '/', level, '/', pmod(k1, shards))"))
     schema = "shard string, node long, members array<long>, vector array<double>, links array<int>, number int, entry boolean"
     dealt = dealt.select("shard", "node", "members", "vector")
     dealt.groupBy("shard").applyInPandas(_index, schema).write.parquet(f"{folder}/graph")
@@ -241,14 +259,19 @@ def search(graph: DataFrame, queries: DataFrame, nearest: int = NEAREST, beam: i
         .cogroup(asked.groupBy("shard", "block"))
         .applyInPandas(_search(nearest, beam), "query_id long, vec_id long, score double")
     )
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # an id may have rows in several shards
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 
 
 def nearest_rows(vectors: DataFrame, every: int, nearest: int = NEAREST) -> DataFrame:
-    """The nearest of each row whose vec_id is divisible by `every`, among all other rows."""
+    """The nearest of each row whose vec_id is divisible by `every`, among all rows of another vec_id.
+
+    Rows that share a vec_id are candidates each, and the nearest of them stands for the id, which a query lists once. Of
+    query rows that share a vec_id the one with the least vector, component by component, is asked.
+    """
     graph = build_index(vectors, run_dir(vectors.sparkSession, "graph"), nearest)
     queries = vectors.select(
         F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector")
     ).where(F.col("query_id").isNotNull() & usable("vector") & (F.col("query_id") % every == 0))
-    return search(graph, queries.dropDuplicates(["query_id"]), nearest)
+    return search(graph, queries.groupBy("query_id").agg(F.min("vector").alias("vector")), nearest)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import graph
 from riskloom.llm.ngram_join import forest
-from riskloom.llm.vectors import usable, with_class
+from riskloom.llm.vectors import matrix_of, unit, usable, with_class
 from riskloom.session import run_dir
 
 COSINE = 0.93
@@ -34,8 +34,7 @@ CELLS = "label string, cell int, home boolean, cid long, weight long, block long
 
 
 def _unit(rows) -> np.ndarray:
-    matrix = np.array([np.asarray(v, dtype=np.float64) for v in rows])
-    return matrix / np.sqrt((matrix * matrix).sum(1))[:, None]
+    return unit(matrix_of(rows))
 
 
 def _cells(pivots, radius: float):

@@ -122,7 +122,7 @@ def useful_features(rows: list[np.ndarray], positive: np.ndarray) -> np.ndarray:
 
 def _train(prior: float):
     def run(sample: pd.DataFrame) -> pd.DataFrame:
-        sample = sample.sort_values("mixed", kind="stable")
+        sample = sample.sort_values(["mixed", "positive"], kind="stable")
         rows = [np.asarray(f, np.int64) for f in sample["features"]]
         model = int(sample["model"].iloc[0])
         weights, bias = fit(rows, sample["positive"].to_numpy(), prior, model)
@@ -177,7 +177,8 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[np.
     limit = min(1.0, UNLABELLED / max(total, 1)) * (1 << 40)
     unlabelled = texts.where(F.pmod(mixed, F.lit(1 << 40)) < int(limit)).withColumn("positive", F.lit(False))
     confirmed = texts.join(F.broadcast(listed), "doc_id").select("doc_id", "text", "positive")
-    sample = confirmed.unionByName(unlabelled).select("positive", "text", mixed.alias("mixed"))
+    # The order in which a classifier sees its texts comes from the texts, so it is the same whatever files they are in.
+    sample = confirmed.unionByName(unlabelled).select("positive", "text", F.xxhash64(F.lit(6), "text").alias("mixed"))
     sample = sample.dropDuplicates(["positive", "text"])  # copies are no further evidence
     rows = sample.mapInArrow(_samples, "model int, positive boolean, mixed long, features array<int>")
     fitted = rows.groupBy("model").applyInPandas(_train(toxic / count), "model int, feature int, weight double")

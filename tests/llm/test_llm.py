@@ -371,6 +371,47 @@ def test_range_join(spark, monkeypatch):
     assert range_join.range_join(frame.limit(0)).count() == 0
 
 
+def test_range_join_at_any_magnitude(spark):
+    """Vectors whose squares are no numbers link by their cosine alone."""
+    rows = [(1, [1e-200] * 8), (2, [1.0] + [0.01] * 7), (3, [0.01, 1.0] + [0.01] * 6), (4, [1e200] * 8), (5, [5e-324] * 8)]
+    rows += [(6, [1.7e308, -1.7e308] * 4), (7, [1e-300, -1e-300] * 4), (8, [1e200] + [1e198] * 7)]
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in range_join.range_join(frame).collect()}
+    assert found == {1: (2, 1), 4: (2, 1), 5: (2, 1), 2: (1, 2), 8: (1, 2), 3: (0, 3), 6: (1, 6), 7: (1, 6)}
+
+
+def test_graph_search_of_unequal_lengths(spark, monkeypatch):
+    """Recall over several shards when half of the vectors have lengths far apart; scores, ranks and ties."""
+    monkeypatch.setattr(graph_search, "SHARD", 1500)
+    rng = np.random.default_rng(9)
+    matrix = rng.normal(size=(8000, 64))
+    matrix /= np.linalg.norm(matrix, axis=1)[:, None]
+    matrix[::2] *= rng.lognormal(0, 1, 4000)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<double>")
+    found = collections.defaultdict(list)
+    for r in graph_search.nearest_rows(frame, 20).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    hit = 0
+    for i in range(0, 8000, 20):
+        scores = matrix @ matrix[i]
+        scores[i] = -np.inf
+        hit += len(set(np.argsort(-scores)[:20].tolist()) & {v for _, v, _ in found[i]})
+        assert [r for r, *_ in found[i]] == list(range(1, 21))
+        assert all(abs(s - scores[v]) < 1e-9 for _, v, s in found[i])
+        assert found[i] == sorted(found[i], key=lambda f: (-f[2], f[1]))
+    assert hit / 8000 >= 0.9
+
+
+def test_graph_search_lists_an_id_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.1]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.9, 0.0]), (2, [1e200, 1e200]), (3, [1e-200, 0.0])]
+    rows += [(20, [3.0, 0.0]), (4, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = graph_search.nearest_rows(frame, 20).where("query_id = 20").orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in found] == [(1, 2, 3e200), (2, 0, 3.0), (3, 1, 3.0), (4, 4, 3.0), (5, 3, 3e-200)]
+    asked = graph_search.nearest_rows(frame, 20).where("query_id = 0 AND vec_id = 20").collect()
+    assert [r["score"] for r in asked] == [1.5]  # the least of the vectors of id 0
+
+
 def test_graph_search(spark, monkeypatch):
     monkeypatch.setattr(graph_search, "SHARD", 100)
     rows, frame = vectors(spark)
@@ -415,6 +456,8 @@ def test_toxicity_learns_from_positives(spark, none):
     labels = spark.createDataFrame([(i, int(i >= 900)) for i in range(0, 1100, 2)], "doc_id long, toxic int")
     models = toxicity.train(frame, labels, F.col("doc_id") >= 0)
     found = {r["doc_id"]: r["score"] for r in toxicity.score(frame, models).collect()}
+    again = toxicity.score(frame, toxicity.train(frame.repartition(7), labels.repartition(3), F.col("doc_id") >= 0)).collect()
+    assert {r["doc_id"]: r["score"] for r in again} == found
     odd = [i for i in range(1100) if i % 2]
     assert np.mean([(found[i] >= 0.7) == (i >= 900) for i in odd]) > 0.95
     assert found[1100] == found[1101] < 0.5 and toxicity.train(frame, labels.limit(0), F.col("doc_id") >= 0) == []
