@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.catalog import charts, extensions, models, prep, profiles, rules, streams
+from riskloom.catalog import charts, extensions, mechanisms, models, prep, profiles, rules, streams
 
-SECTIONS = (rules, prep, profiles, charts, streams, models, extensions)
+SECTIONS = (rules, prep, profiles, charts, streams, models, extensions, mechanisms)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -52,6 +52,12 @@ def write_batch_parquet(df: DataFrame, batch_id: int, root: str) -> str:
     return "parquet"
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder wherever the session's file systems reach; False if it was not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def verify_output(spark: SparkSession, path: str, file_format: str = "parquet", expected: int | None = None) -> int:
     """Rows written at a path; an output without rows, or with other than the expected number, is an error."""
     rows = spark.read.format(file_format).option("header", True).load(path).count()
