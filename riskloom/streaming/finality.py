@@ -72,7 +72,7 @@ def _newest(spark: SparkSession, root: str, batch_id: int) -> int | None:
 
 def final_windows(spark: SparkSession, root: str, ended: bool = False) -> DataFrame:
     """(window_start, n) of all final windows; with `ended`, of a stream that is over, the open ones too."""
-    found = spark.read.schema(WINDOWS).parquet(f"{root}/final")
+    found = spark.read.schema(WINDOWS).parquet(f"{root}/final").select("start", "n")
     if ended:
         last = marks(spark, root).agg(F.max("batch_id")).first()[0]
         found = found.unionByName(spark.read.schema(WINDOWS).parquet(batch_path(f"{root}/open", last)))
