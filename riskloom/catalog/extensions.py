@@ -60,8 +60,8 @@ SELECT day, n, ROUND(AVG(n) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURR
 SELECT day, ROUND(rate, 6) AS rate, ROUND(m, 6) AS trailing_mean, ROUND(s, 6) AS trailing_sd,
   COALESCE(ABS(rate - m) > 1.5 * s, FALSE) AS alert FROM t""",
     "geo_rollup": f"""{SCORED}
-SELECT r_name AS region, n_name AS nation, COUNT(*) AS n, COUNT(*) FILTER (WHERE risk_level = 'high') AS high_n,
+SELECT COALESCE(r_name, 'unknown') AS region, COALESCE(n_name, 'unknown') AS nation, COUNT(*) AS n, COUNT(*) FILTER (WHERE risk_level = 'high') AS high_n,
   ROUND(COUNT(*) FILTER (WHERE risk_level = 'high') * CAST(100 AS DOUBLE) / COUNT(*), 6) AS high_pct
-FROM scored JOIN customer ON patient_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""",
+FROM scored LEFT JOIN customer ON patient_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (COALESCE(r_name, 'unknown'), COALESCE(n_name, 'unknown'))""",
 }

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.catalog.observations import SCORED, observed, table
-from riskloom.operators import codes, positions
+from riskloom.operators import codes, positions, sketches
+from riskloom.operators.dims import local_table
 from riskloom.session import counting_session, run_dir
 from riskloom.sinks import snapshots
 from riskloom.sinks.manifest import ManifestSink, committed
@@ -18,6 +19,7 @@ from riskloom.streaming.scoring import start_query, start_scoring
 BATCHES, FILES = 4, 2
 DAY = 24 * 3600
 SPAN = 6 * 3600
+PRICED, SHARES = ("l_extendedprice", "l_quantity"), (0.01, 0.25, 0.5, 0.75, 0.99)
 
 
 def arriving(spark, sf_dir, delayed: bool) -> DataFrame:
@@ -105,6 +107,29 @@ def name_index(spark, sf_dir):
     return codes.encode(rows, "c_name", codes.code_table(rows, "c_name"), "code", hot=100).select("c_custkey", "code")
 
 
+def _ranks(column: str, value: float):
+    """Rows below a value, up to it, and all."""
+    return F.struct(F.count_if(F.col(column) < value).alias("below"), F.count_if(F.col(column) <= value).alias("upto"), F.count(column).alias("n"))
+
+
+def quantile_bounds(spark, sf_dir):
+    """Sketched quantiles of four parts of the rows, merged: do the true ranks of the answers lie within the bound?"""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", *PRICED)
+    parts = rows.select((F.col("l_orderkey") % 4).alias("part"), *PRICED)
+    cells = sketches.merge_cells(sketches.quantile_cells(parts, PRICED, ["part"]))
+    asked = cells.select("column", "n", F.explode(F.array(*[F.struct(F.lit(s).alias("share"), sketches.quantile(s).alias("value")) for s in SHARES])).alias("a"))
+    asked = asked.select("column", "n", "a.share", "a.value")
+    answers = {(r["column"], r["share"]): r["value"] for r in asked.collect()}  # a row per column and share
+    values = rows.agg(*[_ranks(c, v).alias(f"{c}|{s}") for (c, s), v in answers.items()])
+    ranks = values.first()
+    bound = sketches.rank_error()
+    found = []
+    for c, s in answers:
+        below, upto, n = ranks[f"{c}|{s}"]
+        found.append((c, s, n, below / n - bound <= s <= upto / n + bound))
+    return local_table(spark, "column string, share double, n long, within boolean", found)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,6 +141,7 @@ QUERIES = {
         snapshot_as_of,
         attach_by_file_position,
         name_index,
+        quantile_bounds,
     )
 }
 
@@ -160,6 +186,10 @@ SELECT *, CASE batch_id WHEN 1 THEN 'fallback' ELSE 'primary' END AS sink FROM p
     "attach_by_file_position": """WITH l AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS p FROM events),
 r AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderkey) AS p FROM orders)
 SELECT event_id, o_orderpriority FROM l LEFT JOIN r USING (p)""",
+    "quantile_bounds": """SELECT "column", share, CASE "column" WHEN 'l_quantity' THEN quantity ELSE price END AS n, TRUE AS within
+FROM (SELECT COUNT(l_extendedprice) AS price, COUNT(l_quantity) AS quantity FROM lineitem),
+  (VALUES ('l_extendedprice'), ('l_quantity')) AS c("column"),
+  (VALUES (0.01::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.99::DOUBLE)) AS s(share)""",
     "name_index": """WITH counts AS (SELECT c_name, COUNT(*) AS n FROM customer GROUP BY 1),
 codes AS (SELECT c_name, row_number() OVER (ORDER BY n DESC, c_name) - 1 AS code FROM counts)
 SELECT c_custkey, CAST(code AS DOUBLE) AS code FROM customer JOIN codes USING (c_name)""",

@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.observations import SCORED, observations
+from riskloom.catalog.observations import SCORED, observations, table
 from riskloom.catalog.streams import _score
 from riskloom.operators import models as ops
 from riskloom.operators.dims import local_table
@@ -19,17 +19,31 @@ from riskloom.sinks.files import save_model
 from riskloom.sources.files import load_model
 
 
-@lru_cache(maxsize=4)
+def _state(spark, sf_dir) -> tuple:
+    """What tells whether the files are still those a classifier was fitted on."""
+    rows = table(spark, sf_dir, "events").select(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_size").alias("size"))
+    return tuple(rows.agg(F.count("*"), F.max("time"), F.sum("size")).first())
+
+
 def _split(spark, sf_dir):
+    return _split_of(spark, sf_dir, _state(spark, sf_dir))
+
+
+def _fitted(spark, sf_dir, name):
+    return _fitted_of(spark, sf_dir, name, _state(spark, sf_dir))
+
+
+@lru_cache(maxsize=4)
+def _split_of(spark, sf_dir, state):
     train, holdout = hash_split(clean(observations(spark, sf_dir)), "obs_id")
     return train, holdout, fit_features(train)
 
 
 @lru_cache(maxsize=8)
-def _fitted(spark, sf_dir, name):
-    """A classifier and its metrics, fitted once per session and folder."""
-    train, holdout, features = _split(spark, sf_dir)
-    with ops.cached(ops.training_rows(train, features)) as rows:
+def _fitted_of(spark, sf_dir, name, state):
+    """A classifier and its metrics, fitted once per session and state of the files."""
+    train, holdout, features = _split_of(spark, sf_dir, state)
+    with ops.cached(ops.training_rows(train, features, key="obs_id")) as rows:
         return fit_and_evaluate(name, rows, holdout, features)
 
 

@@ -18,6 +18,7 @@ from riskloom.functions.rules import rule_prediction
 from riskloom.operators.metrics import PREDICTED, weighted_metrics
 from riskloom.schema import LABEL
 
+PARTITIONS = 64  # of the rows that classifiers are fitted on
 METRICS = ("accuracy", "auc", "precision", "recall", "f1")
 
 
@@ -36,7 +37,7 @@ def logistic(label: str = LABEL, **params) -> LogisticRegression:
 def spread(df: DataFrame) -> DataFrame:
     """At least one partition per core: rows of few files would keep the other cores idle.
 
-    For cached rows and micro-batches, whose partitions are known without running their plan.
+    For scoring micro-batches only, which gives each row the same result wherever it lies.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -44,19 +45,29 @@ def spread(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
-    """The rows cached, and spread, while they are read over and over."""
+    """The rows cached while they are read over and over."""
     rows = df.persist(StorageLevel.MEMORY_AND_DISK)
-    wide = spread(rows)
     try:
-        yield wide if wide is rows else wide.persist(StorageLevel.MEMORY_AND_DISK)
+        yield rows
     finally:
-        wide.unpersist()
         rows.unpersist()
 
 
-def training_rows(train: DataFrame, features: PipelineModel, label: str = LABEL) -> DataFrame:
-    """Only the columns that fitting reads."""
-    return train.select(*_inputs(features), label)
+def dealt(df: DataFrame, key: str, partitions: int = PARTITIONS) -> DataFrame:
+    """Rows in a fixed number of partitions by a hash of their unique key, in its order.
+
+    A forest draws each tree's rows partition by partition, so where a row lies decides which trees learn from it.
+    Dealt like this, the same rows give the same forest whatever files and cores there are.
+    """
+    return df.repartition(partitions, F.xxhash64(key)).sortWithinPartitions(key)
+
+
+def training_rows(
+    train: DataFrame, features: PipelineModel, label: str = LABEL, key: str | None = None, partitions: int = PARTITIONS
+) -> DataFrame:
+    """Only the columns that fitting reads, dealt by `key` if there is one."""
+    rows = train if key is None else dealt(train.select(key, *_inputs(features), label), key, partitions)
+    return rows.select(*_inputs(features), label)
 
 
 def fit_classifier(features: PipelineModel, classifier, rows: DataFrame) -> PipelineModel:

@@ -170,8 +170,7 @@ def score_histogram(df: DataFrame) -> DataFrame:
 
 def box_stats(df: DataFrame, column: str, by: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """min, quartiles, max and fences: the outermost values within 1.5 interquartile ranges."""
-    value = F.col(column).cast("double")
-    rows = df.select(by, value.alias("value")).where(F.col("value").isNotNull())
+    rows = df.select(by, nan_to_null(F.col(column).cast("double")).alias("value")).where(F.col("value").isNotNull())
     if exact:
         shares = exact_quantiles(rows, ["value"], (0.25, 0.5, 0.75), [by])
         quartiles = shares.groupBy(by).agg(

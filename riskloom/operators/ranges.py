@@ -1,8 +1,8 @@
 """Order-dependent work without a single sorting task: numbering and exact quantiles.
 
-A value is put into one of many range buckets of about equal size. Bucket sizes are counted
+For quantiles a value is put into one of many range buckets of about equal size. Bucket sizes are counted
 with map-side combining, their running total gives each bucket its offset, and only then are
-rows ordered, bucket by bucket.
+values ordered, bucket by bucket.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from riskloom.operators.positions import number_in_order
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS, MAX_BUCKETS = 64, 20_000
@@ -44,27 +45,10 @@ def in_buckets(df: DataFrame, column: str, rows: int, out: str) -> DataFrame:
 
 def number_rows(df: DataFrame, key: str, out: str = "position") -> DataFrame:
     """Consecutive 0-based numbers in the order of `key`, a unique number or time column."""
-    order = F.col(key)
-    if isinstance(df.schema[key].dataType, T.TimestampNTZType):
-        order = order.cast("timestamp")
-    keyed = df.withColumn("_key", order.cast("double"))
-    rows, with_key = keyed.agg(F.count("*"), F.count("_key")).first()
+    rows, with_key = df.agg(F.count("*"), F.count(key)).first()
     if rows != with_key:
         raise ValueError(f"{key} has NULLs, so it does not order the rows")
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1
-    bucketed = in_buckets(keyed, "_key", rows, "_bucket")
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per bucket, at most MAX_BUCKETS.
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    return (
-        bucketed.join(offsets, "_bucket")
-        .withColumn(out, F.col("_offset") + within)
-        .drop("_key", "_bucket", "_offset")
-    )
+    return number_in_order(df, [F.asc(key)], out)
 
 
 def exact_quantiles(

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from riskloom.functions.nulls import ratio
 from riskloom.operators.metrics import PREDICTED
 
+UNKNOWN = "unknown"
+
 
 def daily_trend(df: DataFrame, column: str = "processing_time", days: int = 7) -> DataFrame:
     """(day, n, moving_avg) with the mean of the last `days` rows, one row per day."""
@@ -31,6 +33,7 @@ def rate_alerts(df: DataFrame, column: str = "processing_time", days: int = 7, k
 def geo_rollup(scored: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Observations, high-risk ones and their share by region and nation, with subtotals.
 
+    Patients without a customer, nation or region count as of an unknown one, so the total is that of all observations.
     Observations are reduced to one row per patient before the join with the patients' homes,
     and to one row per nation before the names and subtotals come in.
     """
@@ -38,13 +41,14 @@ def geo_rollup(scored: DataFrame, customer: DataFrame, nation: DataFrame, region
         F.count("*").alias("n"), F.sum((F.col("risk_level") == "high").cast("long")).alias("high_n")
     )
     per_nation = (
-        per_patient.join(customer, F.col("patient_id") == F.col("c_custkey"))
+        per_patient.join(customer, F.col("patient_id") == F.col("c_custkey"), "left")
         .groupBy("c_nationkey")
         .agg(F.sum("n").alias("n"), F.sum("high_n").alias("high_n"))
     )
     return (
-        per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .select("n", "high_n", *[F.coalesce(c, F.lit(UNKNOWN)).alias(c) for c in ("r_name", "n_name")])
         .rollup(F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
         .agg(F.sum("n").alias("n"), F.sum("high_n").alias("high_n"))
         .withColumn("high_pct", ratio(F.col("high_n"), F.col("n")) * 100.0)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.sinks.files import write_batch_csv
@@ -12,6 +13,7 @@ from riskloom.sinks.jdbc import append_batch, write_with_fallback
 from riskloom.sources.files import load_model
 from riskloom.sources.jdbc import jdbc_available
 from riskloom.sources.kafka import read_kafka
+from riskloom.streaming.finality import start_final_windows
 from riskloom.streaming.messages import parse_messages, stamped
 from riskloom.streaming.scoring import start_scoring
 
@@ -60,3 +62,22 @@ def serve(
     events = stamped(parse_messages(source, keep=("message_id",)))
     model = load_model(model_path) if model_path else None
     return start_scoring(events, sink, checkpoint, model, KEPT, metrics_root, every)
+
+
+def count_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    root: str,
+    checkpoint: str,
+    late: int = 600,
+    every: str = "3 seconds",
+    per_batch: int = PER_BATCH,
+) -> StreamingQuery:
+    """Count a topic's messages per minute until stopped, by the time the broker took them.
+
+    A minute is final `late` seconds after its end; `finality.final_windows` reads the counts, `late_rows` what came later.
+    """
+    messages = read_kafka(spark, servers, topic, maxOffsetsPerTrigger=str(per_batch))
+    kept = messages.select("topic", "partition", "offset", "timestamp")
+    return start_final_windows(kept, F.col("timestamp"), root, checkpoint, late, every=every)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.features import hash_split
 from riskloom.operators.models import (
+    PARTITIONS,
     best_model,
     cached,
     evaluate,
@@ -58,14 +59,16 @@ def compare_models(
     label: str = LABEL,
     train_percent: int = 80,
     seed: int = 42,
+    partitions: int = PARTITIONS,
 ) -> Comparison:
     """Fit every classifier on the same hash split of `key` and compare them on the holdout.
 
-    Rows without a label can be neither learned from nor compared with.
+    Rows without a label can be neither learned from nor compared with. The models depend on the rows, the seed and
+    `partitions` alone.
     """
     labelled = data.where(F.col(label).isNotNull())
     train, holdout = hash_split(labelled, key, train_percent, seed)
-    with cached(training_rows(train, features, label)) as rows:
+    with cached(training_rows(train, features, label, key, partitions)) as rows:
         fitted = {n: fit_and_evaluate(n, rows, holdout, features, label, classifiers) for n in classifiers}
     table = model_comparison([metrics for _, metrics in fitted.values()])
     models = {name: model for name, (model, _) in fitted.items()}

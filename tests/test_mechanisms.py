@@ -6,8 +6,11 @@ import pytest
 from helpers import scored
 from pyspark.sql import functions as F
 
-from riskloom.operators import codes, positions
-from riskloom.sinks import snapshots
+from riskloom.operators import codes, models, positions, sketches
+from riskloom.operators.features import fit_features
+from riskloom.operators.profile import box_stats
+from riskloom.operators.trends import geo_rollup
+from riskloom.sinks import jdbc, snapshots
 from riskloom.sinks.manifest import ManifestSink, committed, manifest
 from riskloom.sources.files import read_file_stream
 from riskloom.streaming import finality, resetting, summaries
@@ -168,3 +171,64 @@ def test_codes(spark, hot):
     found = {r["id"]: r["code"] for r in codes.encode(more, "v", table, "code", hot).collect()}
     of = {"b": 0.0, "a": 1.0, "c": 2.0, "": 3.0, "d": 4.0}
     assert found == {**{i: of.get(v, 5.0) for i, v in enumerate(values)}, 100: 5.0}
+
+
+def test_sketches_merge(spark):
+    values = [(i % 3, float(i) if i % 10 else None) for i in range(30_000)] + [(0, float("nan"))]
+    frame = spark.createDataFrame(values, "g long, v double")
+    parts = frame.withColumn("part", F.col("g") + F.pmod(F.hash("v"), F.lit(4)) * 3)
+    merged = sketches.merge_cells(sketches.quantile_cells(parts, ["v"], ["g", "part"]), ["g"])
+    for row in sketches.box_cells(merged).collect():
+        own = sorted(v for g, v in values if g == row["g"] and v == v and v is not None)
+        assert (row["n"], row["least"], row["most"]) == (len(own), own[0], own[-1])
+        for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+            assert abs(own.index(row[name]) / len(own) - share) <= sketches.rank_error()
+    assert sketches.quantile_cells(frame.limit(0), ["v"], ["g"]).count() == 0
+
+
+def test_first_append_makes_the_table(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, options, table: written.append((table, df.count(), df.columns)))
+    rows = spark.range(3).withColumnRenamed("id", "k")
+    options = {"url": "jdbc:none:x", "driver": "no.such.Driver"}
+    monkeypatch.setattr(jdbc, "jdbc_available", lambda *_: True)
+    jdbc.append_batch(rows, 4, options, "t", "k")
+    assert written == [("t", 3, ["k", "batch_id"])]
+    monkeypatch.setattr(jdbc, "jdbc_available", lambda *_: False)
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc.append_batch(rows, 4, options, "t", "k")
+
+
+def test_patients_without_a_home_count_as_unknown(spark):
+    rows = spark.createDataFrame([(1, "high"), (2, "low"), (None, "low"), (3, "high")], "patient_id long, risk_level string")
+    customer = spark.createDataFrame([(1, 7), (3, 8)], "c_custkey long, c_nationkey long")
+    nation = spark.createDataFrame([(7, "N", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    region = spark.createDataFrame([(0, "R")], "r_regionkey long, r_name string")
+    found = {(r["region"], r["nation"]): (r["n"], r["high_n"]) for r in geo_rollup(rows, customer, nation, region).collect()}
+    assert found == {
+        ("R", "N"): (1, 1),
+        ("R", None): (1, 1),
+        ("unknown", "unknown"): (3, 1),
+        ("unknown", None): (3, 1),
+        (None, None): (4, 2),
+    }
+
+
+def test_boxes_leave_nan_out(spark):
+    frame = spark.createDataFrame([("a", float(v)) for v in (1, 2, 3, 4)] + [("a", float("nan")), ("a", None)], "g string, v double")
+    for exact in (True, False):
+        row = box_stats(frame, "v", "g", exact).first()
+        assert (row["min"], row["max"], row["upper_fence"]) == (1.0, 4.0, 4.0)
+
+
+def test_a_forest_depends_on_its_rows_alone(spark):
+    rng = random.Random(1)
+    rows = [(i, rng.choice("ab"), rng.random(), int(rng.random() < 0.4)) for i in range(600)]
+    frame = spark.createDataFrame(rows, "id long, c string, x double, y int")
+    features = fit_features(frame, ["c"], ["x"])
+    fitted = []
+    for files in (2, 8):
+        with models.cached(models.training_rows(frame.repartition(files), features, "y", "id", partitions=5)) as train:
+            assert train.count() == 600 and sorted(train.columns) == ["c", "x", "y"]
+            fitted.append(models.fit_classifier(features, models.forest("y", numTrees=5, maxDepth=4), train).stages[-1].toDebugString)
+    assert fitted[0].split("\n")[1:] == fitted[1].split("\n")[1:]
