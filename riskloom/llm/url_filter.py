@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from riskloom.llm.names import fresh
 from riskloom.session import run_dir
@@ -119,15 +120,19 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = A
         return _joined(cut, rules, default)
     shared = pages.sparkSession.sparkContext.broadcast(Trie([tuple(r) for r in rules.collect()]))  # at most `most` bytes
 
-    def look_up(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        trie = shared.value
-        for host, path in batches:
-            found = [trie.find(h, p) for h, p in zip(host.to_pylist(), path.to_pylist(), strict=True)]
-            yield pa.array([None if f is None else {"rule": f[0], "verdict": f[1]} for f in found], KIND)
-
-    asked = F.arrow_udf(look_up, "rule string, verdict string")
     (judged,) = fresh(cut, "judged")
-    return _named(cut.withColumn(judged, asked("host", "path")), judged, default)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = shared.value
+        for batch in batches:
+            host, path = (batch.column(at).to_pylist() for at in places)
+            found = [trie.find(h, p) for h, p in zip(host, path, strict=True)]
+            kinds = pa.array([None if f is None else {"rule": f[0], "verdict": f[1]} for f in found], KIND)
+            yield batch.append_column(judged, kinds)
+
+    places = [[c.lower() for c in cut.columns].index(name) for name in ("host", "path")]
+    schema = StructType([*cut.schema.fields, StructField(judged, StructType().add("rule", "string").add("verdict", "string"))])
+    return _named(cut.mapInArrow(look_up, schema), judged, default)
 
 
 KIND = pa.struct([("rule", pa.string()), ("verdict", pa.string())])
