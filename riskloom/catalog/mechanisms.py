@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.catalog.observations import SCORED, observed, table
-from riskloom.operators import codes, positions, sketches
+from riskloom.catalog.observations import OBS, SCORED, observed, table
+from riskloom.operators import codes, comoments, positions, sketches
 from riskloom.operators.dims import local_table
+from riskloom.operators.models import score
 from riskloom.session import counting_session, run_dir
 from riskloom.sinks import snapshots
 from riskloom.sinks.manifest import ManifestSink, committed
 from riskloom.sources.files import read_file_stream
-from riskloom.streaming import finality, resetting, summaries
+from riskloom.streaming import alerts, finality, resetting, summaries
+from riskloom.streaming.comoments import read_comoments, start_comoments
 from riskloom.streaming.messages import replay
 from riskloom.streaming.scoring import start_query, start_scoring
 
 BATCHES, FILES = 4, 2
 DAY = 24 * 3600
 SPAN = 6 * 3600
+MEASURED = ("age", "bmi", "hba1c_level", "blood_glucose_level", "diabetes")
 PRICED, SHARES = ("l_extendedprice", "l_quantity"), (0.01, 0.25, 0.5, 0.75, 0.99)
 
 
@@ -130,6 +133,35 @@ def quantile_bounds(spark, sf_dir):
     return local_table(spark, "column string, share double, n long, within boolean", found)
 
 
+def merged_correlation(spark, sf_dir):
+    """Correlations within each gender from the co-moments of four micro-batches."""
+    root, checkpoint = run_dir(spark, "comoments"), run_dir(spark, "checkpoint")
+    events = observed(arriving(spark, sf_dir, True))
+    start_comoments(events, MEASURED, root, checkpoint, by=["gender"]).awaitTermination()
+    found = comoments.correlations(read_comoments(spark, root, ["gender"]), MEASURED, ["gender"])
+    return found.withColumn("r", F.round("r", 6))
+
+
+def comoment_state(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem")
+    found = comoments.comoment_cells(rows, PRICED, by=["l_returnflag"])
+    return found.select("l_returnflag", "x", "y", "n", *[F.round(c, 4).alias(c) for c in ("mean_x", "mean_y")])
+
+
+def _alerts(spark, sf_dir) -> str:
+    root, checkpoint = run_dir(spark, "alerts"), run_dir(spark, "checkpoint")
+    events = score(observed(arriving(spark, sf_dir, True)))
+    time, value = F.col("processing_time"), F.col("predicted_diabetes")
+    alerts.start_rate_alerts(events, time, value, root, checkpoint, late=DAY, by=["gender"], k=1.5).awaitTermination()
+    return root
+
+
+def stream_rate_alerts(spark, sf_dir):
+    found = alerts.read_rate_alerts(spark, _alerts(spark, sf_dir), ["gender"])
+    rounded = [F.round(c, 6).alias(c) for c in ("rate", "trailing_mean", "trailing_sd")]
+    return found.select("gender", F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", *rounded, "alert")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,6 +174,9 @@ QUERIES = {
         attach_by_file_position,
         name_index,
         quantile_bounds,
+        merged_correlation,
+        comoment_state,
+        stream_rate_alerts,
     )
 }
 
@@ -193,4 +228,31 @@ FROM (SELECT COUNT(l_extendedprice) AS price, COUNT(l_quantity) AS quantity FROM
     "name_index": """WITH counts AS (SELECT c_name, COUNT(*) AS n FROM customer GROUP BY 1),
 codes AS (SELECT c_name, row_number() OVER (ORDER BY n DESC, c_name) - 1 AS code FROM counts)
 SELECT c_custkey, CAST(code AS DOUBLE) AS code FROM customer JOIN codes USING (c_name)""",
+    "merged_correlation": f"{OBS} "
+    + " UNION ALL ".join(
+        f"SELECT gender, '{x}' AS x, '{y}' AS y, ROUND(corr({x}, {y}), 6) AS r FROM obs GROUP BY gender"
+        for x in MEASURED
+        for y in MEASURED
+    ),
+    "comoment_state": " UNION ALL ".join(
+        f"""SELECT l_returnflag, '{x}' AS x, '{y}' AS y, COUNT(*) AS n, ROUND(AVG({x}), 4) AS mean_x, ROUND(AVG({y}), 4) AS mean_y
+FROM lineitem WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1"""
+        for i, x in enumerate(PRICED)
+        for y in PRICED[i:]
+    ),
+    "stream_rate_alerts": f"""{SCORED}, total AS (SELECT max(obs_id) + 1 AS total FROM scored), arriving AS (
+  SELECT *, least(3, (4 * obs_id) // total + CASE WHEN obs_id % 10 = 0 THEN 1 ELSE 0 END) AS batch,
+         date_trunc('day', processing_time) AS day FROM scored, total
+), newest AS (
+  SELECT batch, max(max(processing_time)) OVER (ORDER BY batch) - INTERVAL 1 DAY AS mark FROM arriving GROUP BY batch
+), d AS (
+  SELECT gender, day, COUNT(predicted_diabetes) AS n, AVG(predicted_diabetes) AS rate
+  FROM arriving a LEFT JOIN newest ON newest.batch = a.batch - 1
+  WHERE NOT coalesce(day + INTERVAL 1 DAY <= mark, FALSE)
+    AND day + INTERVAL 1 DAY <= (SELECT max(mark) FROM newest) GROUP BY 1, 2
+), t AS (
+  SELECT *, AVG(rate) OVER w AS m, STDDEV_POP(rate) OVER w AS s FROM d
+  WINDOW w AS (PARTITION BY gender ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+SELECT gender, strftime(day, '%Y-%m-%d') AS day, n, ROUND(rate, 6) AS rate, ROUND(m, 6) AS trailing_mean,
+  ROUND(s, 6) AS trailing_sd, COALESCE(ABS(rate - m) > 1.5 * s, FALSE) AS alert FROM t""",
 }

@@ -58,7 +58,8 @@ def fit_features(
 ) -> PipelineModel:
     """Indexer and assembler, fitted once and used by training and scoring alike."""
     columns = [*numeric, *[f"{c}_indexed" for c in categorical]]
-    return PipelineModel([*fit_indexer(df, categorical).stages, assembler(columns, handle_invalid=handle_invalid)])
+    indexers = fit_indexer(df, categorical).stages if categorical else []
+    return PipelineModel([*indexers, assembler(columns, handle_invalid=handle_invalid)])
 
 
 def feature_slots(df: DataFrame, keys: Sequence[str], vector: str = "features") -> DataFrame:

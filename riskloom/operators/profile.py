@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.bands import AGE_BANDS, BMI_BANDS, age_band, band_of
 from riskloom.functions.nulls import count_if, nan_to_null, ratio, same
 from riskloom.functions.rules import LEVEL_NAMES, RISK_FACTORS, UNKNOWN, band_label, factor_structs, risk_level, risk_score
+from riskloom.operators.comoments import comoment_cells, correlations
 from riskloom.operators.dims import complete, members
 from riskloom.operators.metrics import ACTUAL, PREDICTED
 from riskloom.operators.prep import with_position_share
@@ -251,24 +252,8 @@ def session_span(df: DataFrame, by: str, column: str = "processing_time") -> Dat
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """Pearson (x, y, r) over the rows where both are present; NULL for a constant column."""
-    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
-    values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    stats = values.agg(*[_pearson(x, y).alias(f"{x}|{y}") for x, y in pairs])
-    entries = []
-    for x, y in pairs:
-        r = F.bround(F.col(f"`{x}|{y}`"), digits).alias("r")
-        entries.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r))
-        if x != y:
-            entries.append(F.struct(F.lit(y).alias("x"), F.lit(x).alias("y"), r))
-    return stats.select(F.inline(F.array(*entries)))
-
-
-def _pearson(x_name: str, y_name: str) -> Column:
-    x, y = F.col(x_name), F.col(y_name)
-    if x_name == y_name:
-        return F.when(F.stddev_pop(x) > 0, F.lit(1.0))
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
+    found = correlations(comoment_cells(df, columns), columns)
+    return found.withColumn("r", F.bround("r", digits))
 
 
 def risk_radar(

@@ -2,18 +2,20 @@
 
 import random
 
+import numpy as np
 import pytest
 from helpers import scored
 from pyspark.sql import functions as F
 
-from riskloom.operators import codes, models, positions, sketches
+from riskloom.operators import codes, comoments, models, positions, sketches
 from riskloom.operators.features import fit_features
 from riskloom.operators.profile import box_stats
 from riskloom.operators.trends import geo_rollup
 from riskloom.sinks import jdbc, snapshots
 from riskloom.sinks.manifest import ManifestSink, committed, manifest
 from riskloom.sources.files import read_file_stream
-from riskloom.streaming import finality, resetting, summaries
+from riskloom.streaming import alerts, finality, resetting, summaries
+from riskloom.streaming.comoments import read_comoments, start_comoments
 from riskloom.streaming.messages import replay
 from riskloom.streaming.scoring import start_query
 
@@ -232,3 +234,130 @@ def test_a_forest_depends_on_its_rows_alone(spark):
             assert train.count() == 600 and sorted(train.columns) == ["c", "x", "y"]
             fitted.append(models.fit_classifier(features, models.forest("y", numTrees=5, maxDepth=4), train).stages[-1].toDebugString)
     assert fitted[0].split("\n")[1:] == fitted[1].split("\n")[1:]
+
+
+def measured(rows=400, seed=5):
+    """Rows (part, a, b, c, k, i): a far from 0, b with NULL and NaN, c apart from both, k constant, i with an infinite value."""
+    rng = np.random.default_rng(seed)
+    a = 1e9 + rng.normal(size=rows)
+    b = 0.5 * (a - 1e9) + rng.normal(size=rows)
+    c = rng.normal(size=rows)
+    found = []
+    for n in range(rows):
+        gap = None if n % 7 == 0 else float("nan") if n % 11 == 0 else float(b[n])
+        found.append((n % 4, float(a[n]), gap, None if n % 5 == 0 else float(c[n]), 0.1, float("inf") if n == 9 else float(n)))
+    return found
+
+
+def pearson(rows, x, y):
+    pairs = [(r[x], r[y]) for r in rows if None not in (r[x], r[y]) and r[x] == r[x] and r[y] == r[y]]
+    return float(np.corrcoef(np.array(pairs).T)[0, 1])
+
+
+def test_comoments_of_parts_merge_into_those_of_the_whole(spark):
+    rows, names = measured(), ["a", "b", "c", "k", "i"]
+    frame = spark.createDataFrame(rows, "part int, a double, b double, c double, k double, i double")
+    whole = comoments.comoment_cells(frame, names)
+    parts = comoments.comoment_cells(frame, names, by=["part"])
+    merged = comoments.merge_comoments(parts.drop("part"))
+    for cells in (whole, merged):
+        found = {(r["x"], r["y"]): r["r"] for r in comoments.correlations(cells, names).collect()}
+        assert len(found) == 25
+        for i, x in enumerate("abc"):
+            assert found[x, x] == 1.0 and found[x, "k"] is None and found["k", x] is None and found[x, "i"] is None
+            for j, y in enumerate("abc"):
+                assert found[x, y] == pytest.approx(pearson(rows, i + 1, j + 1), abs=1e-9)
+        assert found["k", "k"] is None and found["i", "i"] is None
+    counts = {(r["x"], r["y"]): r["n"] for r in merged.collect()}
+    assert counts["a", "b"] == sum(r[2] is not None and r[2] == r[2] for r in rows) and counts["a", "a"] == 400
+    one = {(r["part"], r["x"], r["y"]): r["r"] for r in comoments.correlations(parts, names, ["part"]).collect()}
+    assert one[2, "a", "b"] == pytest.approx(pearson([r for r in rows if r[0] == 2], 1, 2), abs=1e-9)
+
+
+def test_comoments_of_nothing_and_of_clashing_names(spark):
+    empty = spark.createDataFrame([], "n double, x double")
+    found = comoments.correlations(comoments.comoment_cells(empty, ["n", "x"]), ["n", "x"]).collect()
+    assert len(found) == 4 and all(r["r"] is None for r in found)
+    named = spark.createDataFrame([(1.0, 2.0, None), (2.0, 4.0, None), (3.0, 6.0, 1.0)], "present double, sum double, `it's` double")
+    found = comoments.correlations(comoments.comoment_cells(named, named.columns), named.columns).collect()
+    found = {(r["x"], r["y"]): r["r"] for r in found}
+    assert found["present", "sum"] == pytest.approx(1.0) and found["it's", "sum"] is None and len(found) == 9
+
+
+def test_comoments_of_a_stream_are_those_of_its_rows(spark, path):
+    rows = [(i, "ab"[i % 2], float((i * 37) % 101)) for i in range(120)]
+    stream = streamed(spark, f"{path}/in", rows[:50], rows[50:51], rows[51:])
+    stream = stream.select("key", F.col("id").cast("double").alias("id"), F.unix_seconds("at").alias("s"))
+    for attempt in ("c", "c2"):  # the second plays the same batches over the same root
+        start_comoments(stream, ["id", "s"], f"{path}/out", f"{path}/{attempt}", by=["key"]).awaitTermination()
+        cells = read_comoments(spark, f"{path}/out", ["key"])
+        found = {(r["key"], r["x"], r["y"]): r["r"] for r in comoments.correlations(cells, ["id", "s"], ["key"]).collect()}
+        for key in "ab":
+            of = np.array([(i, s) for i, k, s in rows if k == key]).T
+            assert found[key, "id", "s"] == pytest.approx(float(np.corrcoef(of)[0, 1]), abs=1e-9)
+
+
+def alerted(cells, windows, k):
+    """{(key, start): (n, rate, mean, sd, alert)} from {(key, start): values}, in plain Python."""
+    found = {}
+    for key in {c[0] for c in cells}:
+        rates = []
+        for start in sorted(s for name, s in cells if name == key):
+            values = [v for v in cells[key, start] if v is not None]
+            rate = sum(values) / len(values) if values else None
+            before = [r for r in rates[-windows:] if r is not None]
+            mean, sd = (float(np.mean(before)), float(np.std(before))) if before else (None, None)
+            alert = rate is not None and mean is not None and abs(rate - mean) > k * sd
+            found[key, start] = (len(values), rate, mean, sd, alert)
+            rates.append(rate)
+    return found
+
+
+def test_alerts_of_a_stream_are_those_of_its_final_windows(spark, path):
+    rng = random.Random(11)
+    rows = []
+    for n in range(900):
+        at = n * 1.0 + rng.random() * 15
+        rows.append((None if n % 13 == 0 else rng.randint(0, 9), rng.choice(["a", "b", None]), round(at, 3)))
+    rows[500] = (5, "a", 3.0)  # far too late
+    rows[501] = (5, "b", None)
+    batches = [rows[i : i + 150] for i in range(0, 900, 150)]
+    stream = streamed(spark, f"{path}/in", *batches)
+    size, late, windows, k = 20, 30, 3, 0.8
+    kept, newest, too_late = {}, None, 0
+    for batch in batches:
+        for value, key, at in batch:
+            start = None if at is None else int(at // size) * size
+            if at is None or (newest is not None and start + size <= newest - late):
+                too_late += 1
+            else:
+                kept.setdefault((key, start), []).append(value)
+        newest = max([newest or 0, *[at for *_, at in batch if at is not None]])
+    final = {c: v for c, v in kept.items() if c[1] + size <= newest - late}
+    expected = alerted(final, windows, k)
+    for attempt in ("c", "c2"):  # the second plays the same batches over the same root
+        alerts.start_rate_alerts(
+            stream, F.col("at"), F.col("id"), f"{path}/out", f"{path}/{attempt}", late, ["key"], size, windows, k
+        ).awaitTermination()
+        found = alerts.read_rate_alerts(spark, f"{path}/out", ["key"]).collect()
+        assert len(found) == len(expected) > 60
+        for r in found:
+            n, rate, mean, sd, alert = expected[r["key"], int(r["window_start"].timestamp())]
+            assert (r["n"], r["alert"]) == (n, alert)
+            for got, want in ((r["rate"], rate), (r["trailing_mean"], mean), (r["trailing_sd"], sd)):
+                assert got == (want if want is None else pytest.approx(want, abs=1e-9))
+        assert any(r["alert"] for r in found) and not all(r["alert"] for r in found)
+        assert spark.read.parquet(f"{path}/out/late").count() == too_late >= 2
+    held = spark.read.parquet(f"{path}/out/ring/batch_id=5").groupBy("key").count().collect()
+    assert max(r["count"] for r in held) == windows
+
+
+def test_alerts_without_key_and_of_a_stream_without_rows(spark, path):
+    stream = streamed(spark, f"{path}/in", [(1, "a", 5.0), (3, "b", 6.0)], [(9, "a", 25.0)], [(0, "a", 900.0)])
+    alerts.start_rate_alerts(stream, F.col("at"), F.col("id"), f"{path}/out", f"{path}/c", late=0, size=20, windows=2).awaitTermination()
+    found = sorted((int(r["window_start"].timestamp()), r["n"], r["rate"], r["alert"]) for r in alerts.read_rate_alerts(spark, f"{path}/out").collect())
+    assert found == [(0, 2, 2.0, False), (20, 1, 9.0, True)]
+    stream = streamed(spark, f"{path}/none", [(1, "a", None)])
+    alerts.start_rate_alerts(stream, F.col("at"), F.col("id"), f"{path}/o2", f"{path}/c3", late=0).awaitTermination()
+    assert alerts.read_rate_alerts(spark, f"{path}/o2").count() == 0
+    assert spark.read.parquet(f"{path}/o2/late").count() == 1
