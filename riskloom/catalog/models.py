@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.observations import OBS, SCORED, observations, table
+from riskloom.catalog.mechanisms import arriving
+from riskloom.catalog.observations import OBS, SCORED, observations, observed, table
 from riskloom.catalog.streams import _score
 from riskloom.operators import models as ops
 from riskloom.operators.dims import local_table
@@ -15,8 +16,9 @@ from riskloom.operators.profile import with_risk
 from riskloom.plans.preparation import clean
 from riskloom.plans.training import CLASSIFIERS, fit_and_evaluate
 from riskloom.session import run_dir
-from riskloom.sinks.files import save_model
+from riskloom.sinks.files import save_model, write_batch_parquet
 from riskloom.sources.files import load_model
+from riskloom.streaming.scoring import start_scoring
 
 STUMP = ("age", "hba1c_level", "hypertension", "heart_disease")
 
@@ -142,6 +144,20 @@ def exact_best_predictions(spark, sf_dir):
     return found.groupBy("diabetes", "prediction", F.round("diabetes_probability", 4).alias("probability")).agg(F.count("*").alias("n"))
 
 
+def stream_stump_predictions(spark, sf_dir):
+    """Four micro-batches scored by a saved and loaded tree of one split, with their logged accuracy."""
+    models, _ = _exact_models(spark, sf_dir, ["stump"])
+    model = load_model(save_model(models["stump"], run_dir(spark, "models"), "stump"))
+    out, log, checkpoint = (run_dir(spark, place) for place in ("scored", "accuracy", "checkpoint"))
+    events = observed(arriving(spark, sf_dir, True))
+    sink = partial(write_batch_parquet, root=out)
+    start_scoring(events, sink, checkpoint, model, ("obs_id",), log).awaitTermination()
+    logged = spark.read.option("basePath", log).parquet(log).select("batch_id", "n", "correct")
+    found = spark.read.option("basePath", out).parquet(out)
+    found = found.groupBy("batch_id", F.col("predicted_diabetes").alias("predicted")).agg(F.count("*").alias("rows"), F.sum("obs_id").alias("ids"))
+    return found.join(logged, "batch_id").withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
 def fold_accuracy(spark, sf_dir):
     train, _ = _plain(spark, sf_dir)
     folded = train.withColumn("fold", (F.col("obs_id") % 3).cast("int"))
@@ -163,6 +179,7 @@ QUERIES = {
         rate_predictions,
         exact_comparison,
         exact_best_predictions,
+        stream_stump_predictions,
         fold_accuracy,
     )
 }
@@ -224,6 +241,13 @@ FROM accuracy JOIN auc USING (model) JOIN weighted USING (model)""",
     "exact_best_predictions": f"""{_EXACT}
 SELECT diabetes, prediction, ROUND(probability, 4) AS probability, COUNT(*) AS n
 FROM predicted JOIN chosen USING (model) GROUP BY 1, 2, 3""",
+    "stream_stump_predictions": f"""{_EXACT}, total AS (SELECT max(obs_id) + 1 AS total FROM obs), arrived AS (
+  SELECT obs_id, diabetes, least(3, (4 * obs_id) // total + CASE WHEN obs_id % 10 = 0 THEN 1 ELSE 0 END) AS batch_id,
+    CAST(CASE WHEN CASE f {" ".join(f"WHEN '{c}' THEN {c}" for c in STUMP)} END <= cut THEN low ELSE high END > 0.5 AS INT) AS predicted
+  FROM obs, best, total
+), logged AS (SELECT batch_id, COUNT(*) AS n, COUNT(*) FILTER (predicted = diabetes) AS correct FROM arrived GROUP BY 1)
+SELECT batch_id, predicted, COUNT(*) AS rows, CAST(SUM(obs_id) AS BIGINT) AS ids, n, correct
+FROM arrived JOIN logged USING (batch_id) GROUP BY ALL""",
     "fold_accuracy": f"""{OBS}, train AS (
   SELECT obs_id % 3 AS fold, hba1c_level >= 7 AS raised, diabetes FROM obs
   WHERE ('0x' || substr(md5(obs_id || '|42'), 1, 8))::UBIGINT % 100 < 80
