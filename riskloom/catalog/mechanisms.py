@@ -18,7 +18,8 @@ from riskloom.streaming.comoments import read_comoments, start_comoments
 from riskloom.streaming.messages import replay
 from riskloom.streaming.scoring import start_query, start_scoring
 
-BATCHES, FILES = 4, 2
+BATCHES, FILES = 4, 2  # files of a micro-batch, more where it has many rows
+FILE_ROWS = 100_000
 DAY = 24 * 3600
 SPAN = 6 * 3600
 MEASURED = ("age", "bmi", "hba1c_level", "blood_glucose_level", "diabetes")
@@ -31,9 +32,12 @@ def arriving(spark, sf_dir, delayed: bool) -> DataFrame:
     total = events.agg(F.max("event_id") + 1).first()[0] or 1
     batch = F.least(F.lit(BATCHES - 1), F.expr(f"{BATCHES} * event_id div {total} + int({str(delayed).lower()} AND event_id % 10 = 0)"))
     path = run_dir(spark, "arriving")
+    sizes = events.groupBy(batch.alias("batch")).count().collect()  # a row per batch
+    # Each batch has the same number of files, so none may be without rows: the smallest batch sets it.
+    files = max(FILES, min((r["count"] for r in sizes), default=0) // FILE_ROWS)
     for number in range(BATCHES):
-        replay(events.where(batch == number), path, files=FILES)
-    return read_file_stream(spark, path, events.schema, max_files=FILES)
+        replay(events.where(batch == number), path, files=files)
+    return read_file_stream(spark, path, events.schema, max_files=files)
 
 
 def _minutes(spark, sf_dir) -> str:
@@ -58,8 +62,10 @@ def late_messages(spark, sf_dir):
 
 def reset_counts(spark, sf_dir):
     out, checkpoint = run_dir(spark, "resetting"), run_dir(spark, "checkpoint")
-    events = arriving(counting_session(spark), sf_dir, False)
-    counted = resetting.resetting_counts(events, "user_id", F.col("ts"), "1 hour", SPAN)
+    # The state grows with the users, so it is dealt over as many partitions as the session's shuffles.
+    partitions = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    events = arriving(counting_session(spark, partitions), sf_dir, False)
+    counted = resetting.resetting_counts(events, "user_id", F.col("ts"), "1 hour", SPAN, buckets=16 * partitions)
     start_query(counted.writeStream.format("parquet").option("path", out), checkpoint).awaitTermination()
     found = spark.read.schema(counted.schema).parquet(out)
     return found.withColumn("counter_start", F.col("counter_start").cast("timestamp_ntz"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,7 +12,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 MILLI = 1000
 SECOND = 1000 * MILLI
-STATE = "start long, n long, waiting array<long>, copies array<long>"
+STATE = "keys array<{}>, start array<long>, n array<long>, waiting array<array<long>>, copies array<array<long>>"
+BUCKETS = 256
 
 
 def fold(start: int, n: int, times: list[int], counts: list[int], span: int) -> tuple[list[tuple[int, int]], int, int]:
@@ -26,43 +28,59 @@ def fold(start: int, n: int, times: list[int], counts: list[int], span: int) ->
     return closed, start, n
 
 
-def resetting_counts(stream: DataFrame, key: str, time: Column, late: str, seconds: int = 60) -> DataFrame:
+def resetting_counts(stream: DataFrame, key: str, time: Column, late: str, seconds: int = 60, buckets: int = BUCKETS) -> DataFrame:
     """(key, counter_start, n): each counter begins with a message and takes all of its key in the next `seconds`.
 
     A counter is told once, when the watermark has passed its end, whether or not another message comes. Until
     then messages wait in the state, equal times as one, because earlier ones may still arrive; the state holds no
     more than what lies within `late` of the newest. Messages later than that are left out, as are those without
     key or time.
+
+    A call of Python and a state cost milliseconds, so the keys of a hash bucket share them. `buckets` must stay the
+    same as long as the checkpoint is used; with very many keys there should be more.
     """
     span = seconds * SECOND
     kind = stream.schema[key].dataType.simpleString()
     timed = stream.select(F.col(key).alias("key"), time.cast("timestamp").alias("time")).where("key IS NOT NULL AND time IS NOT NULL")
 
     def run(name: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, n, waiting, copies = state.get if state.exists else (-1, 0, [], [])
-        pending = pd.Series(list(copies), index=list(waiting), dtype="int64")
+        # By key: start, n and the messages that wait; NaN, which is no key of a dict, as None.
+        held = {_named(k): (s, n, dict(zip(w, c, strict=True))) for k, s, n, w, c in zip(*state.get, strict=True)} if state.exists else {}
         if not state.hasTimedOut:
             for frame in frames:
-                counts = frame["at"].value_counts()
-                pending = pending.add(counts, fill_value=0).astype("int64")
-        pending = pending.sort_index()
-        seen = state.getCurrentWatermarkMs() * MILLI
-        ready = pending[pending.index <= seen]
-        closed, start, n = fold(start, n, ready.index.tolist(), ready.tolist(), span)
-        pending = pending[pending.index > seen]
-        if start >= 0 and start + span <= seen:
-            closed.append((start, n))
-            start, n = -1, 0
-        if start >= 0 or len(pending):
-            state.update((int(start), int(n), [int(t) for t in pending.index], [int(c) for c in pending]))
-            wake = min([*([start + span] if start >= 0 else []), *pending.index[:1].tolist()])
-            state.setTimeoutTimestamp(max(int(wake) // MILLI + 1, state.getCurrentWatermarkMs() + 1))
+                for k, at in zip(frame["key"].tolist(), frame["at"].tolist(), strict=True):
+                    pending = held.setdefault(_named(k), (-1, 0, {}))[2]
+                    pending[at] = pending.get(at, 0) + 1
+        mark = state.getCurrentWatermarkMs()
+        seen = mark * MILLI
+        told, kept, wake = [], [], []
+        for k, (start, n, pending) in held.items():
+            k = float("nan") if k is None else k
+            times = sorted(pending)
+            done = bisect_right(times, seen)
+            closed, start, n = fold(start, n, times[:done], [pending[t] for t in times[:done]], span)
+            if start >= 0 and start + span <= seen:
+                closed.append((start, n))
+                start, n = -1, 0
+            told += [(k, *c) for c in closed]
+            times = times[done:]
+            if start >= 0 or times:
+                kept.append((k, start, n, times, [pending[t] for t in times]))
+                wake += [*([start + span] if start >= 0 else []), *times[:1]]
+        if kept:
+            state.update(tuple(map(list, zip(*kept, strict=True))))
+            state.setTimeoutTimestamp(max(min(wake) // MILLI + 1, mark + 1))
         elif state.exists:
             state.remove()
-        yield pd.DataFrame([(name[0], *c) for c in closed], columns=["key", "start", "n"])
+        yield pd.DataFrame(told, columns=["key", "start", "n"])
 
     times = timed.withWatermark("time", late).withColumn("at", F.unix_micros("time"))
-    found = times.groupBy("key").applyInPandasWithState(
-        run, f"key {kind}, start long, n long", STATE, "append", GroupStateTimeout.EventTimeTimeout
+    dealt = times.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    found = dealt.groupBy("bucket").applyInPandasWithState(
+        run, f"key {kind}, start long, n long", STATE.format(kind), "append", GroupStateTimeout.EventTimeTimeout
     )
     return found.select(F.col("key").alias(key), F.timestamp_micros("start").alias("counter_start"), "n")
+
+
+def _named(key):
+    return key if key == key else None

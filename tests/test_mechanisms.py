@@ -78,6 +78,25 @@ def test_counters_start_anew_whatever_the_order_of_arrival(spark, path):
     assert found == sorted(expected) and sum(n for *_, n in found) == 246
 
 
+def test_many_keys_share_the_states_of_a_few_buckets(spark, path):
+    """A state per key takes a call of Python per key and batch; NaN is a key like any other."""
+    nan = float("nan")
+    rows = [(k, float(t)) for k in range(300) for t in (k + 5, k + 35, k + 65, k + 405)] + [(-1, t) for t in (1.0, 2.0, 500.0)]
+    frame = spark.createDataFrame([(nan if k < 0 else float(k), t) for k, t in rows], "key double, s double")
+    frame = frame.select("key", F.timestamp_seconds("s").alias("at"))
+    replay(frame, f"{path}/in", files=2)
+    replay(spark.createDataFrame([(nan, 5000.0), (7.0, 4000.0)], "key double, s double").select("key", F.timestamp_seconds("s").alias("at")), f"{path}/in", files=1)
+    stream = read_file_stream(spark, f"{path}/in", frame.schema, max_files=2)
+    counted = resetting.resetting_counts(stream, "key", F.col("at"), "0 seconds", buckets=8)
+    query = start_query(counted.writeStream.format("parquet").option("path", f"{path}/out"), f"{path}/c")
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{path}/out").collect()  # Arrow makes NULL of a NaN in pandas
+    found = sorted((r["key"], int(r["counter_start"].timestamp()), r["n"]) for r in rows if r["key"] is not None)
+    assert [x for x in found if x[0] != 7] == [(float(k), k + t, n) for k in range(300) if k != 7 for t, n in ((5, 2), (65, 1), (405, 1))]
+    assert sorted((r["counter_start"].timestamp(), r["n"]) for r in rows if r["key"] is None) == [(1.0, 2), (500.0, 1)]
+    assert 0 < max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 8
+
+
 def test_cells_of_batches_add_up(spark, path):
     changes = [{"age": float(a), "bmi": None if a % 3 else 20.0 + a, "predicted_diabetes": a % 2} for a in range(20, 60)]
     every = scored(spark, *changes)
