@@ -11,19 +11,22 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import mixing, ngram_join, packing, secrets, tokens, toxicity
 from riskloom.llm.queries import TOXIC
-from riskloom.session import run_dir
+from riskloom.session import arrow_rows, run_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REPLACEMENT = "[secret]"
+BATCH = 1000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject, from all labels of documents that are there."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    models = toxicity.train(docs, labels, F.col("doc_id").isNotNull())
-    numbered = docs.select(*COLUMNS).withColumn("copy", F.col("text"))
-    scored = toxicity.score(numbered, models)
-    return scored.where(F.col("score") < TOXIC).withColumn("text", F.col("copy")).select(*COLUMNS)
+    place = run_dir(spark, "not-toxic")
+    with arrow_rows(spark, BATCH):
+        models = toxicity.train(docs, labels, F.col("doc_id").isNotNull())
+        scored = toxicity.score(docs.select(*COLUMNS), models, texts=True)
+        scored.where(F.col("score") < TOXIC).select(*COLUMNS).write.parquet(place)
+    return spark.read.parquet(place)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,11 +12,12 @@ most POSITIVES and about UNLABELLED texts; scoring reads all.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ FEATURES = 1 << 18
 #: texts by this factor and by so many standard errors.
 SHARE, LIFT, ERRORS = 0.01, 4.0, 4.0
 STEM = 5  # bytes of a word's beginning
+PART = 1 << 20  # bytes of text that are looked at together
 STEPS = 800
 RATE = 0.05
 
@@ -52,8 +54,18 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.divmod(key, FEATURES)
 
 
-def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of at most PART bytes of text after the first, since the work on a slice takes many times its size."""
     for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        place = np.maximum(np.cumsum(sizes, dtype=np.int64) // PART, np.arange(len(sizes)) // 1000)
+        borders = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), batch.num_rows]
+        for low, high in itertools.pairwise(borders):
+            yield batch.slice(low, high - low)
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches, 1):
         text, feature = features(batch.column(1))
         borders = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(borders), pa.array(feature.astype(np.int32)))
@@ -71,13 +83,17 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float, seed: int) -> tuple[np.ndarray, float]:
-    """Weights of the features and the bias. Features are only ever evidence for a positive: no weight is negative."""
-    useful = useful_features(rows, positive)
-    rows = [r[useful[r]] for r in rows]
-    weights, bias = np.zeros(FEATURES), float(np.log(prior / (1 - prior)))
+def fit(flat: np.ndarray, borders: np.ndarray, positive: np.ndarray, order: np.ndarray, prior: float, seed: int) -> tuple[np.ndarray, float]:
+    """Weights of the features and the bias. Features are only ever evidence for a positive: no weight is negative.
+
+    The features of text i are flat[borders[i]:borders[i + 1]]; `order` has the texts as they are to be seen.
+    """
+    useful = useful_features(flat, borders, positive)
     column = np.cumsum(useful) - 1  # place of a useful feature among them
-    rows = [column[r] for r in rows]
+    texts = (flat[borders[i] : borders[i + 1]] for i in order)
+    rows = [column[text[useful[text]]] for text in texts]
+    positive = positive[order]
+    weights, bias = np.zeros(FEATURES), float(np.log(prior / (1 - prior)))
     theta = np.zeros(int(useful.sum()) + 1)
     theta[-1] = bias
     mean, square = np.zeros(len(theta)), np.zeros(len(theta))
@@ -108,44 +124,49 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float, seed: int) -
     return weights, float(bias)
 
 
-def useful_features(rows: list[np.ndarray], positive: np.ndarray) -> np.ndarray:
+def useful_features(flat: np.ndarray, borders: np.ndarray, positive: np.ndarray) -> np.ndarray:
     """Which features speak for the positives, by SHARE, LIFT and ERRORS."""
     share, n = [], []
     for kind in (True, False):
-        some = [r for r, p in zip(rows, positive, strict=True) if p == kind]
-        n.append(max(len(some), 1))
-        share.append(np.bincount(np.concatenate([np.zeros(0, np.int64), *some]), minlength=FEATURES) / n[-1])
+        n.append(max(int((positive == kind).sum()), 1))
+        counts = np.zeros(FEATURES, np.int64)
+        for low in range(0, len(positive), 1000):  # the counts need wide integers, for some texts at a time
+            high = min(low + 1000, len(positive))
+            some = np.repeat(positive[low:high] == kind, np.diff(borders[low : high + 1]))
+            counts += np.bincount(flat[borders[low] : borders[high]][some], minlength=FEATURES)
+        share.append(counts / n[-1])
     both = (share[0] * n[0] + share[1] * n[1]) / sum(n)
     error = np.sqrt(np.maximum(both * (1 - both) * (1 / n[0] + 1 / n[1]), 1e-12))
     return (share[0] >= SHARE) & (share[0] >= LIFT * share[1]) & (share[0] - share[1] >= ERRORS * error)
 
 
 def _train(prior: float):
-    def run(sample: pd.DataFrame) -> pd.DataFrame:
-        sample = sample.sort_values(["mixed", "positive"], kind="stable")
-        rows = [np.asarray(f, np.int64) for f in sample["features"]]
-        model = int(sample["model"].iloc[0])
-        weights, bias = fit(rows, sample["positive"].to_numpy(), prior, model)
+    def run(sample: pa.Table) -> pa.Table:
+        positive = sample["positive"].to_numpy()
+        order = np.lexsort((positive, sample["mixed"].to_numpy()))
+        model = sample["model"][0].as_py()
+        lists = sample["features"].chunks
+        flat = np.concatenate([x.flatten().to_numpy() for x in lists])
+        borders = np.concatenate([[0], np.cumsum(np.concatenate([x.value_lengths().to_numpy() for x in lists]), dtype=np.int64)])
+        del sample, lists
+        weights, bias = fit(flat, borders, positive, order, prior, model)
         used = np.flatnonzero(weights)
-        table = {"model": model, "feature": [-1, *used], "weight": [bias, *weights[used]]}
-        return pd.DataFrame(table).astype({"model": "int32", "feature": "int32"})
+        columns = [np.full(len(used) + 1, model, np.int32), np.concatenate([[-1], used]).astype(np.int32), np.concatenate([[bias], weights[used]])]
+        return pa.table(columns, ["model", "feature", "weight"])
 
     return run
 
 
-def _score(shared, keep: int) -> Callable:
+def _score(shared, keep: list[int], at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                text, feature = features(part.column(keep))
-                borders = np.searchsorted(text, np.arange(part.num_rows + 1))
-                scores = np.zeros(part.num_rows)
-                for weights, bias in models:
-                    scores += _logistic(_sums(weights, feature, borders) + bias) / len(models)
-                columns = [part.column(k) for k in range(keep)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], [*part.schema.names[:keep], "score"])
+        for part in _parts(batches, at):
+            text, feature = features(part.column(at))
+            borders = np.searchsorted(text, np.arange(part.num_rows + 1))
+            scores = np.zeros(part.num_rows)
+            for weights, bias in models:
+                scores += _logistic(_sums(weights, feature, borders) + bias) / len(models)
+            yield pa.RecordBatch.from_arrays([*[part.column(k) for k in keep], pa.array(scores)], [*[part.schema.names[k] for k in keep], "score"])
 
     return run
 
@@ -181,7 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[np.
     sample = confirmed.unionByName(unlabelled).select("positive", "text", F.xxhash64(F.lit(6), "text").alias("mixed"))
     sample = sample.dropDuplicates(["positive", "text"])  # copies are no further evidence
     rows = sample.mapInArrow(_samples, "model int, positive boolean, mixed long, features array<int>")
-    fitted = rows.groupBy("model").applyInPandas(_train(toxic / count), "model int, feature int, weight double")
+    fitted = rows.groupBy("model").applyInArrow(_train(toxic / count), "model int, feature int, weight double")
     table = fitted.toPandas()  # at most MODELS * (FEATURES + 1) rows
     models = []
     for _, part in table.groupby("model"):
@@ -192,15 +213,16 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column) -> list[tuple[np.
     return models
 
 
-def score(docs: DataFrame, models: list[tuple[np.ndarray, float]]) -> DataFrame:
-    """The columns of docs but `text`, which all are scored by, and `score` (0 to 1).
+def score(docs: DataFrame, models: list[tuple[np.ndarray, float]], texts: bool = False) -> DataFrame:
+    """The columns of docs but `text`, which all are scored by, and `score` (0 to 1). With `texts` also `text`, as it is.
 
     NULL and empty texts have the score of a text without features. Without models every score is 0.
     """
-    keep = [c for c in docs.columns if c != "text"]
+    columns = [c for c in docs.columns if c != "text"]
+    shown = [*columns, "text"] if texts else columns
     if not models:
-        return docs.select(*keep, F.lit(0.0).alias("score"))
+        return docs.select(*shown, F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(models)
-    ordered = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema if f.name != "text")
-    return ordered.mapInArrow(_score(shared, len(keep)), f"{schema}, score double")
+    ordered = docs.select(*columns, F.col("text").cast("string").alias("text"))
+    schema = ", ".join(f"`{c}` {ordered.schema[c].dataType.simpleString()}" for c in shown)
+    return ordered.mapInArrow(_score(shared, list(range(len(shown))), len(columns)), f"{schema}, score double")

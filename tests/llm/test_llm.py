@@ -464,6 +464,33 @@ def test_toxicity_learns_from_positives(spark, none):
     assert toxicity.score(none.select("doc_id", "text"), models).count() == 0
 
 
+def test_toxicity_works_on_slices_of_bounded_text(monkeypatch):
+    """Whole Arrow batches of long texts took more memory than an executor has; a text's features and score stay the same."""
+    rng = random.Random(4)
+    texts = [words(rng, n) if n else None for n in (0, 3, 400, 5, 0, 90, 2000, 7, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["doc_id", "text"])
+    weights = np.zeros(toxicity.FEATURES)
+    weights[::3] = 0.01
+
+    class Shared:
+        value = [(weights, -3.0)]
+
+    def scored():
+        return list(toxicity._score(Shared, [0, 1], 1)(iter([batch, batch.slice(0, 0)])))
+
+    def sampled():
+        rows = pa.RecordBatch.from_arrays([pa.array([True] * 9), pa.array(texts), pa.array(range(9))], ["positive", "text", "mixed"])
+        return sorted(map(str, pa.Table.from_batches(toxicity._samples(iter([rows]))).to_pylist()))
+
+    whole, samples = pa.Table.from_batches(scored()).to_pylist(), sampled()
+    monkeypatch.setattr(toxicity, "PART", 500)
+    parts = scored()
+    assert all(sum(len(t or "") for t in p["text"].to_pylist()[1:]) <= 500 for p in parts) and len(parts) > 2
+    again = pa.Table.from_batches(parts).to_pylist()
+    assert [(r["doc_id"], r["text"]) for r in again] == list(zip(range(9), texts, strict=True))
+    assert np.allclose([r["score"] for r in whole], [r["score"] for r in again], rtol=1e-9) and sampled() == samples
+
+
 def test_many_secrets_in_one_text(spark):
     """Texts on both sides of MANY, against plain Python, and a text of 100,000 matches."""
     rng = random.Random(8)

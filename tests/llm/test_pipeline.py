@@ -2,10 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as pipeline
-from riskloom.session import run_dir
+from riskloom.session import ARROW_ROWS, arrow_rows, run_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -73,6 +74,20 @@ def test_stages_are_in_order():
     ]
 
 
+def test_stages_with_long_texts_get_small_arrow_batches(spark):
+    """A batch of 10,000 whole documents, in and out of Python, was too much for an executor."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    rows = spark.range(0, 3500, 1, 1)
+    before = spark.conf.get(ARROW_ROWS)
+    with arrow_rows(spark, pipeline.BATCH):
+        assert [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()] == [1000, 1000, 1000, 500]
+    assert spark.conf.get(ARROW_ROWS) == before
+
+
 def test_drop_toxic(spark, path):
     rng = random.Random(2)
     texts = [words(rng, 30) for _ in range(600)]
