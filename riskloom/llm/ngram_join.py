@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import graph
 from riskloom.llm import words as W
-from riskloom.session import run_dir
+from riskloom.session import arrow_rows, run_dir
 
 SIZE = 5
 PERCENT = 80
 FREQUENT = 1 << 19  # shingles that go last in the first order
 GATHERED = 8_000_000  # shingles a task counts at once to find repeated ones
 FILTER_BITS = 1 << 25  # bits of the filter that tells which texts are left
+BATCH = 1000  # texts of an Arrow batch
+PART = 1 << 20  # bytes of text that are looked at together
 BLOCK = 256  # texts of one side of a comparing task
 
 
@@ -76,13 +78,14 @@ def _summary(size: int) -> Callable:
         names = ["doc_id", "cid", "second", "n", "token", "copies"]
 
         def repeated() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *gathered]), return_counts=True)
-            values, counts = values[counts > 1].view(np.int64), counts[counts > 1]
+            together = np.concatenate([np.zeros(0, np.uint64), *gathered])
             gathered.clear()
+            values, counts = np.unique(together, return_counts=True)
+            values, counts = values[counts > 1].view(np.int64), counts[counts > 1]
             none = pa.nulls(len(values), pa.int64())
             return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(values), pa.array(counts)], names)
 
-        for batch in batches:
+        for batch in W.parts(batches, 1, PART):
             sets, n = _Sets(batch, size), []
             for row in range(sets.docs):
                 shingles = sets.of(row)
@@ -107,7 +110,7 @@ def _prefixes(size: int, percent: int, frequent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = frequent.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in W.parts(batches, 1, PART):
             sets, cids, prefixes = _Sets(batch, size), [], []
             for row in range(sets.docs):
                 cid = int(sets.first[row])
@@ -136,7 +139,7 @@ def _wanted_sets(size: int, kept) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = kept.value
-        for batch in batches:
+        for batch in W.parts(batches, 1, PART):
             sets = _Sets(batch, size)
             at = W.mix(sets.first.view(np.uint64)) % np.uint64(len(bits) * 64)
             hit = (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
@@ -274,7 +277,8 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     spark, place = docs.sparkSession, run_dir(docs.sparkSession, "ngram")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, cid long, second long, n long, token long, copies long"
-    texts.mapInArrow(_summary(size), schema).write.parquet(f"{place}/summary")
+    with arrow_rows(spark, BATCH):
+        texts.mapInArrow(_summary(size), schema).write.parquet(f"{place}/summary")
     summary = spark.read.parquet(f"{place}/summary")
     members = summary.where("n IS NOT NULL").select("doc_id", "cid", "second", "n")
 
@@ -284,7 +288,8 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     named = texts.where("doc_id IS NOT NULL")
     prefixes = named.mapInArrow(_prefixes(size, percent, frequent), "cid long, tokens array<long>")
     tokens = prefixes.select(F.explode("tokens").alias("token"), "cid")
-    _shared(tokens).select("cid").distinct().write.parquet(f"{place}/left")
+    with arrow_rows(spark, BATCH):
+        _shared(tokens).select("cid").distinct().write.parquet(f"{place}/left")
     left = spark.read.parquet(f"{place}/left")
 
     whole = "doc_id long, cid long, n long, tokens array<long>"
@@ -298,7 +303,8 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
         .withColumn("third", F.row_number().over(own.orderBy("df", F.desc("token"))) <= F.col("room"))
         .where("second OR third")
     )
-    ranked.select("cid", "n", "token", "second", "third").write.parquet(f"{place}/ranked")
+    with arrow_rows(spark, BATCH):
+        ranked.select("cid", "n", "token", "second", "third").write.parquet(f"{place}/ranked")
     ranked = spark.read.parquet(f"{place}/ranked")
 
     bucket = Window.partitionBy("token").orderBy("n", "cid")
@@ -330,7 +336,8 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
         .select("cell", "i", "j", "block", "cid", "n", "tokens", "second", "third")
     )
     links = tasks.groupBy("cell", "i", "j").applyInPandas(_compare(percent), "a long, b long")
-    links.write.parquet(f"{place}/links")
+    with arrow_rows(spark, BATCH):
+        links.write.parquet(f"{place}/links")
 
     # Nodes are doc_ids: a class is its smallest doc_id, and rows of one doc_id hold classes together.
     classes = members.where("doc_id IS NOT NULL AND n > 0")

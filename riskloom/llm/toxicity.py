@@ -12,12 +12,10 @@ most POSITIVES and about UNLABELLED texts; scoring reads all.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,18 +52,8 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.divmod(key, FEATURES)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """The rows in slices of at most PART bytes of text after the first, since the work on a slice takes many times its size."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        place = np.maximum(np.cumsum(sizes, dtype=np.int64) // PART, np.arange(len(sizes)) // 1000)
-        borders = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), batch.num_rows]
-        for low, high in itertools.pairwise(borders):
-            yield batch.slice(low, high - low)
-
-
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _parts(batches, 1):
+    for batch in W.parts(batches, 1, PART):
         text, feature = features(batch.column(1))
         borders = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(borders), pa.array(feature.astype(np.int32)))
@@ -160,7 +148,7 @@ def _train(prior: float):
 def _score(shared, keep: list[int], at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
-        for part in _parts(batches, at):
+        for part in W.parts(batches, at, PART):
             text, feature = features(part.column(at))
             borders = np.searchsorted(text, np.arange(part.num_rows + 1))
             scores = np.zeros(part.num_rows)

@@ -8,6 +8,8 @@ billion words has a chance of a few in a hundred, and among the words of one tex
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +72,16 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return text[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of at most `size` bytes of text after the first, since the work on a slice takes many times its size."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        place = np.maximum(np.cumsum(sizes, dtype=np.int64) // size, np.arange(len(sizes)) // 1000)
+        borders = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), batch.num_rows]
+        for low, high in itertools.pairwise(borders):
+            yield batch.slice(low, high - low)
+
+
 @dataclass
 class Words:
     start: np.ndarray  # byte positions

@@ -101,6 +101,39 @@ def test_ngram_join(docs, none, rows):
     assert ngram_join.ngram_join(none).count() == 0
 
 
+def test_long_texts_of_the_ngram_join_come_in_small_parts(spark, monkeypatch):
+    """Batches of 10,000 rows, hashed whole, took some 400 MB a worker."""
+    summary = ngram_join._summary
+
+    def watched(size):
+        run = summary(size)
+
+        def small(batches):
+            for batch in batches:
+                assert batch.num_rows <= 1000
+                yield from run(iter([batch]))
+
+        return small
+
+    docs = spark.range(0, 2500, 1, 1).selectExpr("id AS doc_id", "concat('a b c d e f ', id) AS text")
+    monkeypatch.setattr(ngram_join, "_summary", watched)
+    assert ngram_join.ngram_join(docs).where("component_id = doc_id AND n_shingles = 3").count() == 2500
+
+    seen = []
+
+    class Seen(ngram_join._Sets):
+        def __init__(self, batch, size):
+            super().__init__(batch, size)
+            seen.append((self.docs, sum(map(len, batch.column(1).to_pylist()))))
+
+    monkeypatch.setattr(ngram_join, "_Sets", Seen)
+    text = " ".join(map(str, range(20_000)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": [text] * 60})
+    found = pa.Table.from_batches(summary(5)(iter([batch])))
+    assert found["doc_id"].drop_null().to_pylist() == list(range(60)) and set(found["n"].drop_null().to_pylist()) == {19_996}
+    assert sum(n for n, _ in seen) == 60 and max(size for _, size in seen) < ngram_join.PART + len(text)
+
+
 def test_token_files(spark, docs, none, rows):
     folder = run_dir(spark, "test-orc")
     token_files.write_ids(docs, folder, tokenizer_path())
