@@ -313,7 +313,6 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
         .select("cid", F.lag("cid").over(bucket).alias("before"), "n", F.lag("n").over(bucket).alias("less"))
         .where(F.col("less") * 100 >= F.col("n") * percent)
         .select("cid", "before")
-        .distinct()
     )
     cells = graph.components(pairs, "cid", "before").select(F.col("node").alias("cid"), F.col("component").alias("cell"))
     cells.write.parquet(f"{place}/cells")

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm import extendible, graph_search, mixing, ngram_join, packing, ppm, queries, range_join, secrets, token_files, toxicity
+from riskloom.llm import extendible, graph, graph_search, mixing, ngram_join, packing, ppm, queries, range_join, secrets, token_files, toxicity
 from riskloom.llm.tokens import Encoder, _Numbers, tokenizer_path
 from riskloom.session import run_dir
 
@@ -134,6 +134,31 @@ def test_long_texts_of_the_ngram_join_come_in_small_parts(spark, monkeypatch):
     assert sum(n for n, _ in seen) == 60 and max(size for _, size in seen) < ngram_join.PART + len(text)
 
 
+@pytest.mark.parametrize("chunk", [graph.CHUNK, 7])
+def test_components(spark, chunk):
+    rng = random.Random(chunk)
+    edges = [(rng.randrange(-60, 60), rng.randrange(-60, 60)) for _ in range(60)]
+    edges += [(100, x) for x in range(110, 140)] + [(n, n + 1) for n in range(200, 260)] + [(5, 5), (None, 4), (7, None)]
+    edges += [(b, a) for a, b in edges[:20]] + edges[:20]
+    rng.shuffle(edges)
+    root = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in root:
+        for a, b in edges:
+            if a in root and b in root:
+                root[a] = root[b] = min(root[a], root[b])
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    found = [tuple(r) for r in graph.components(frame, chunk=chunk).collect()]
+    assert sorted(found) == sorted(root.items())
+    assert graph.components(frame.limit(0), chunk=chunk).count() == 0
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark):
+    """Each round's exchanges take threads and plans in the driver; a chain took a round for each doubling."""
+    chain = spark.range(0, 5000, 1, 3).selectExpr("id AS a", "id + 1 AS b")
+    assert graph.components(chain, most=1).where("component = 0").count() == 5001
+    assert graph.components(chain, most=6, chunk=1000).where("component = 0").count() == 5001
+
+
 def test_token_files(spark, docs, none, rows):
     folder = run_dir(spark, "test-orc")
     token_files.write_ids(docs, folder, tokenizer_path())
