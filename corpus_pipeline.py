@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with arrow_rows(spark, BATCH):
         models = toxicity.train(docs, labels, F.col("doc_id").isNotNull())
         scored = toxicity.score(docs.select(*COLUMNS), models, texts=True)
-        scored.where(F.col("score") < TOXIC).select(*COLUMNS).write.parquet(place)
+        scored.where(F.col("score") < TOXIC).select(*COLUMNS).write.option("compression", "zstd").parquet(place)
     return spark.read.parquet(place)
 
 
@@ -36,7 +36,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     doc_id the first by text is kept.
     """
     place = run_dir(spark, "near-copies")
-    docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{place}/docs")
+    numbered = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    numbered.write.option("compression", "zstd").parquet(f"{place}/docs")
     kept = spark.read.parquet(f"{place}/docs")
     joined = ngram_join.ngram_join(kept.select(F.col("_row").alias("doc_id"), "text"))
     joined = joined.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").join(kept.select("_row", "doc_id"), "_row")

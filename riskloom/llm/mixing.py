@@ -233,7 +233,7 @@ def mixed(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = 7) -> DataFrame
     their order with a blank between. What no slot takes is left out.
     """
     spark, place = docs.sparkSession, run_dir(docs.sparkSession, "mixed")
-    docs.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{place}/docs")
+    docs.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{place}/docs")
     kept = spark.read.parquet(f"{place}/docs")
     documents, _, parts = mix(kept, block, seed)
     spans = parts.groupBy("row", "round").agg(

@@ -3,8 +3,10 @@
 Two texts with similarity t or more share a token among the first n - ceil(t * n) + 1 tokens of each,
 whatever order the tokens are put in, as long as it is the same for all texts. Three orders are used:
 
-1. by hash, with frequent shingles last. Texts that share no prefix token with another text under
-   this order have no partner and are done with. This is settled from a fifth of all shingles.
+1. by hash, with frequent shingles last. Prefixes longer by k - 1 tokens share at least k tokens
+   (`counted_prefix`). A text that has fewer prefix tokens in common with all other texts together has
+   no partner and is done with, though it may share a passage or a line with many. This is settled
+   from a quarter of all shingles.
 2. rarest first, ties by hash. Frequencies are exact counts over the texts that are left.
 3. rarest first, ties by descending hash.
 
@@ -43,9 +45,18 @@ PART = 1 << 20  # bytes of text that are looked at together
 BLOCK = 256  # texts of one side of a comparing task
 
 
-def prefix_length(n, percent: int):
-    """Tokens of the prefix of a set of n."""
-    return n - (n * percent + 99) // 100 + 1
+def counted_prefix(n: int, percent: int) -> tuple[int, int]:
+    """Length of the prefix of a set of n under the first order, and how many of its tokens a partner's prefix has.
+
+    With k more tokens than are surely not common, a prefix holds the first k common tokens. The k of a set grows
+    with its size, so of two partners the smaller one's k counts, and a set of n has none smaller than `common`.
+    """
+
+    def k(size: int) -> int:
+        return max(1, min(1 + size * (100 - percent) // 400, (size * percent + 99) // 100))
+
+    common = (n * percent + 99) // 100
+    return min(n, n - common + k(n)), k(common)
 
 
 class _Sets:
@@ -105,13 +116,13 @@ def _summary(size: int) -> Callable:
 
 
 def _prefixes(size: int, percent: int, frequent) -> Callable:
-    """Per class the prefix of its set under the first order."""
+    """Per class the prefix of its set under the first order, and how many of its tokens must be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = frequent.value
         seen: set[int] = set()
         for batch in W.parts(batches, 1, PART):
-            sets, cids, prefixes = _Sets(batch, size), [], []
+            sets, cids, needs, prefixes = _Sets(batch, size), [], [], []
             for row in range(sets.docs):
                 cid = int(sets.first[row])
                 shingles = sets.of(row)
@@ -120,7 +131,7 @@ def _prefixes(size: int, percent: int, frequent) -> Callable:
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(cid)
-                wanted = prefix_length(len(shingles), percent)
+                wanted, need = counted_prefix(len(shingles), percent)
                 at = np.minimum(np.searchsorted(known, shingles), max(len(known) - 1, 0))
                 often = known[at] == shingles if len(known) else np.zeros(len(shingles), bool)
                 prefix = shingles[~often][:wanted]
@@ -128,8 +139,10 @@ def _prefixes(size: int, percent: int, frequent) -> Callable:
                     late = shingles[often][np.argsort(rank[at[often]], kind="stable")]
                     prefix = np.concatenate([prefix, late[: wanted - len(prefix)]])
                 cids.append(cid)
+                needs.append(need)
                 prefixes.append(prefix)
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), _lists(prefixes)], ["cid", "tokens"])
+            columns = [pa.array(cids, pa.int64()), pa.array(needs, pa.int32()), _lists(prefixes)]
+            yield pa.RecordBatch.from_arrays(columns, ["cid", "need", "tokens"])
 
     return run
 
@@ -286,10 +299,11 @@ def ngram_join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     frequent = _frequent(often, f"{place}/often")
 
     named = texts.where("doc_id IS NOT NULL")
-    prefixes = named.mapInArrow(_prefixes(size, percent, frequent), "cid long, tokens array<long>")
-    tokens = prefixes.select(F.explode("tokens").alias("token"), "cid")
+    prefixes = named.mapInArrow(_prefixes(size, percent, frequent), "cid long, need int, tokens array<long>")
+    shared = _shared(prefixes.select(F.explode("tokens").alias("token"), "cid", "need"))
     with arrow_rows(spark, BATCH):
-        _shared(tokens).select("cid").distinct().write.parquet(f"{place}/left")
+        enough = shared.groupBy("cid").agg(F.count("*").alias("k"), F.min("need").alias("need")).where("k >= need")
+        enough.select("cid").write.parquet(f"{place}/left")
     left = spark.read.parquet(f"{place}/left")
 
     whole = "doc_id long, cid long, n long, tokens array<long>"

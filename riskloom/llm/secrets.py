@@ -204,7 +204,7 @@ def redacted(docs: DataFrame, place: str, replacement: str = "[secret]") -> Data
     """
     spark = docs.sparkSession
     row, spans, new = fresh(docs, "row", "spans", "new")
-    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(f"{place}/docs")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{place}/docs")
     kept = spark.read.parquet(f"{place}/docs")
     texts = kept.select(F.col(row).alias("of"), "text")
     found = secret_spans(texts, place)

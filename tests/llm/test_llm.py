@@ -101,6 +101,38 @@ def test_ngram_join(docs, none, rows):
     assert ngram_join.ngram_join(none).count() == 0
 
 
+@pytest.mark.parametrize("percent", [10, 50, 80, 95, 100])
+def test_prefixes_of_linked_sets_share_enough(percent):
+    rng = random.Random(percent)
+    linked = 0
+    for _ in range(3000):
+        pool = list(range(rng.randrange(1, 120)))
+        a, b = ({x for x in pool if rng.random() < p} for p in rng.choice([(0.95, 0.95), (0.99, 0.9), (0.6, 0.7)]))
+        if not a & b or 100 * len(a & b) < percent * len(a | b):
+            continue
+        linked += 1
+        rng.shuffle(pool)
+        (long_a, need_a), (long_b, need_b) = (ngram_join.counted_prefix(len(x), percent) for x in (a, b))
+        first, second = ([x for x in pool if x in part][:n] for part, n in ((a, long_a), (b, long_b)))
+        assert len({*first} & {*second}) >= max(need_a, need_b) >= 1
+    assert linked > 20
+
+
+def test_a_shared_passage_does_not_keep_a_text_in_the_ngram_join(spark, monkeypatch):
+    """Texts with one token in common with any other went whole through two more shuffles: too much for the disk."""
+    passages = [" ".join(f"p{k}x{i}" for i in range(24)) for k in range(40)]
+    own = [" ".join(f"w{d}x{i}" for i in range(176)) for d in range(80)]
+    texts = [f"{own[d]} {passages[d % 40]}" for d in range(80)]  # 20 of 196 shingles are those of another text
+    texts += [f"{texts[0]} and five words of more", texts[1].upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    kept = []
+    monkeypatch.setattr(ngram_join, "_filter_of", lambda classes, made=ngram_join._filter_of: kept.append(classes.count()) or made(classes))
+    monkeypatch.setattr(ngram_join, "FREQUENT", 0)
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_join(docs).collect()}
+    assert found == {**{d: d for d in range(80)}, 80: 0, 81: 1}
+    assert kept[0] < 20
+
+
 def test_long_texts_of_the_ngram_join_come_in_small_parts(spark, monkeypatch):
     """Batches of 10,000 rows, hashed whole, took some 400 MB a worker."""
     summary = ngram_join._summary
